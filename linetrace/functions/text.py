@@ -143,11 +143,11 @@ _GROUPS = (
 )
 
 
-def profile(text: Column) -> Column:
-    """How many characters fall in each group, as a struct ``c0, c1, ...``."""
-    counts = [F.length(text) - F.length(F.translate(text, g, "")) for g in _GROUPS]
-    rest = F.length(F.translate(text, "".join(_GROUPS), ""))
-    return F.struct(*[c.alias(f"c{k}") for k, c in enumerate([*counts, rest])])
+def profile(text: str) -> Column:
+    """How many characters of a column fall in each group, as a struct ``c0, c1, ...``."""
+    counts = [f"length({text}) - length(translate({text}, '{g}', '')) as c{k}" for k, g in enumerate(_GROUPS)]
+    rest = f"length(translate({text}, '{''.join(_GROUPS)}', '')) as c{len(_GROUPS)}"
+    return F.expr(f"struct({', '.join([*counts, rest])})")
 
 
 def overlap_bound(a: str, b: str) -> Column:
@@ -155,10 +155,7 @@ def overlap_bound(a: str, b: str) -> Column:
 
     ``a`` and ``b`` are names of ``profile`` columns.
     """
-    total = F.lit(0)
-    for k in range(len(_GROUPS) + 1):
-        total = total + F.least(F.col(f"{a}.c{k}"), F.col(f"{b}.c{k}"))
-    return total
+    return F.expr(" + ".join(f"least({a}.c{k}, {b}.c{k})" for k in range(len(_GROUPS) + 1)))
 
 
 def bag(tokens: Column) -> Column:

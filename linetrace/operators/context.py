@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from linetrace.functions import text as T
+from linetrace.session import spread
 
 CONTEXT_LINES = 4
 
@@ -33,7 +34,8 @@ def context_of(pre_lines: DataFrame, window: int = CONTEXT_LINES) -> DataFrame:
     order = Window.partitionBy("pair_id", "side").orderBy("line_no")
     before = F.reverse(F.collect_list("pre").over(order.rowsBetween(-window, -1)))
     after = F.collect_list("pre").over(order.rowsBetween(1, window))
-    return pre_lines.where("pre <> ''").withColumn(
+    filled = spread(pre_lines.where("pre <> ''"), "pair_id", "side")
+    return filled.withColumn(
         "ctx", F.array_join(F.concat(before, after), " ")
     )
 

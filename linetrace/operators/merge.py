@@ -172,3 +172,17 @@ def merge(
             F.bool_and(F.col("piece").isNotNull()), F.array_join(ordered["piece"], "")
         ).alias("merged")
     )
+
+
+def facing_lines(steps: DataFrame) -> DataFrame:
+    """Line pairs standing in one row of an equal or replace hunk, 1-based."""
+    shared = F.least(F.col("i2") - F.col("i1"), F.col("j2") - F.col("j1"))
+    return (
+        steps.where("tag in ('equal', 'replace')")
+        .select("pair_id", "i1", "j1", F.explode(F.sequence(F.lit(1), shared)).alias("k"))
+        .select(
+            "pair_id",
+            (F.col("i1") + F.col("k")).alias("old_line"),
+            (F.col("j1") + F.col("k")).alias("new_line"),
+        )
+    )
