@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from linetrace.functions.text import let
+
 # What ends a line. Text is always opened with CR LF and CR read as
 # LF; the Unicode rule also ends lines at the separators below.
 NEWLINE = r"\r\n|[\r\n]"
@@ -60,40 +62,33 @@ def versions_of_pairs(pairs: DataFrame) -> DataFrame:
     )
 
 
-def _terminated(text: Column, ends: str) -> Column:
-    return text.rlike(f"(?:{ends})\\z")
-
-
 def split_lines(versions: DataFrame, mode: str = "newline") -> DataFrame:
     """One row per line: ``pair_id, side, line_no, text, has_eol``.
 
     A line end at the end of the text makes no extra line. ``has_eol`` is false
-    only for a last line without one.
+    only for a last line without one. The text is split once: an outer explode
+    keeps the optimizer from testing the array in an added filter of its own.
     """
     ends = LINE_ENDS[mode]
-    pieces = F.split("text", ends, -1)
-    counted = F.when(_terminated(F.col("text"), ends) | (F.col("text") == ""), 1).otherwise(0)
-    return (
-        versions.where("text is not null")
-        .select(
-            "pair_id",
-            "side",
-            F.slice(pieces, F.lit(1), F.size(pieces) - counted).alias("lines"),
-            (counted == 1).alias("closed"),
-        )
-        .select(
-            "pair_id",
-            "side",
-            F.size("lines").alias("n"),
-            "closed",
-            F.posexplode("lines").alias("pos", "text"),
+    last = f"(?:{ends})\\z"
+    closed = F.col("text").rlike(last)
+    body = F.regexp_replace("text", last, "")
+
+    def numbered(parts: Column) -> Column:
+        return F.transform(
+            parts,
+            lambda part, k: F.struct(
+                part.alias("text"), (F.col("closed") | (k + 1 < F.size(parts))).alias("has_eol")
+            ),
         )
+
+    rows = F.when(F.col("text") != "", let(F.split("body", ends, -1), numbered))
+    return (
+        versions.select("pair_id", "side", "text", closed.alias("closed"), body.alias("body"))
+        .select("pair_id", "side", F.posexplode_outer(rows).alias("pos", "line"))
+        .where("pos is not null")
         .select(
-            "pair_id",
-            "side",
-            (F.col("pos") + 1).alias("line_no"),
-            "text",
-            (F.col("closed") | (F.col("pos") + 1 < F.col("n"))).alias("has_eol"),
+            "pair_id", "side", (F.col("pos") + 1).alias("line_no"), "line.text", "line.has_eol"
         )
     )
 
