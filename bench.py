@@ -21,7 +21,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     names = os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",")
-    spark = local_session(cpus, shuffle_partitions=int(cpus) * 2)
+    spark = local_session(cpus, shuffle_partitions=int(cpus) * 4)
     spark.sparkContext.setLogLevel("ERROR")
     seconds = {}
     for name in names:

@@ -34,8 +34,11 @@ def normal_line(text: Column) -> Column:
 
 
 def folded_line(text: Column) -> Column:
-    """Lower case, single blanks, punctuation kept."""
-    return _collapse(F.lower(text))
+    """Lower case, single blanks, punctuation kept.
+
+    Never null, so no filter has to compute it once more where it is a join key.
+    """
+    return F.coalesce(_collapse(F.lower(text)), F.lit(""))
 
 
 def structure(pre: Column) -> Column:
@@ -79,10 +82,11 @@ def fingerprint(tokens: str) -> Column:
     )
     hashes = f"transform({tokens}, t -> {_token_hash('t')})"
     identifier = _token_hash("'ID'")
+    # Never null, so no filter has to compute it once more where it is a join key.
     return F.expr(
-        f"case when size({tokens}) = 0 then 0L"
+        f"coalesce(case when size({tokens}) = 0 then 0L"
         f" when 2 * size(filter({tokens}, t -> t = 'ID')) > size({tokens}) then {identifier}"
-        f" else aggregate(array({hashes}), 0L, (x0, hs) -> {bits}) end"
+        f" else aggregate(array({hashes}), 0L, (x0, hs) -> {bits}) end, 0L)"
     )
 
 

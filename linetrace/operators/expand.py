@@ -6,41 +6,46 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from linetrace.operators.candidates import (
-    SLACK,
-    WEIGHT_CONTEXT,
-    WEIGHT_STRUCTURE,
-    WEIGHT_TEXT,
-    length_bound,
-    score_if,
+    combined,
+    context_similarity,
     side_features,
+    text_and_structure,
 )
-from linetrace.session import keep_where
+from linetrace.operators.context import context_bags
+from linetrace.session import checkpointed, keep_where
 
 TEXTS = ["line_no", "pre", "struct_str"]
-BAGS = ["line_no", "bag", "norm"]
 
 
-def _scored(pairs: DataFrame, texts: DataFrame, bags: DataFrame, threshold: float) -> DataFrame:
+def _scored(pairs: DataFrame, texts: DataFrame, contexts: DataFrame, threshold: float) -> DataFrame:
     """Score ``pair_id, old_line, new_line`` rows, keep those reaching ``threshold``.
 
-    The length bound with full structure and context drops most rows before the
-    word counts, the widest feature, are joined.
+    Text and structure come first and drop nearly all rows; only the lines of the
+    others need their context, the widest feature.
     """
-    can_reach: Column = (
-        WEIGHT_TEXT * length_bound() + WEIGHT_STRUCTURE + WEIGHT_CONTEXT + SLACK >= threshold
-    )
-    scored = (
+    measured = (
         pairs.join(side_features(texts, "old", TEXTS), ["pair_id", "old_line"])
         .join(side_features(texts, "new", TEXTS), ["pair_id", "new_line"])
-        .where(can_reach)
-        .join(side_features(bags, "old", BAGS), ["pair_id", "old_line"])
-        .join(side_features(bags, "new", BAGS), ["pair_id", "new_line"])
-        .select(*pairs.columns, score_if(threshold).alias("score"))
+        .select(*pairs.columns, text_and_structure(threshold).alias("p"))
+    )
+    close = checkpointed(keep_where(measured, F.col("p.t").isNotNull()))
+
+    def bags(side: str) -> DataFrame:
+        wanted = close.select("pair_id", F.col(f"{side}_line").alias("line_no")).distinct()
+        own = contexts.where(F.col("side") == side).join(wanted, ["pair_id", "line_no"], "left_semi")
+        return side_features(context_bags(own), side, ["line_no", "bag", "norm"])
+
+    scored = (
+        close.join(bags("old"), ["pair_id", "old_line"])
+        .join(bags("new"), ["pair_id", "new_line"])
+        .select(
+            *pairs.columns, combined(F.col("p.t"), F.col("p.s"), context_similarity()).alias("score")
+        )
     )
     return keep_where(scored, F.col("score") >= threshold)
 
 
-def split_edges(primary: DataFrame, texts: DataFrame, bags: DataFrame, threshold: float) -> DataFrame:
+def split_edges(primary: DataFrame, texts: DataFrame, contexts: DataFrame, threshold: float) -> DataFrame:
     """New lines next to the match of an old line that resemble the old line too.
 
     ``primary`` is one-to-one over non-blank lines. New lines already used elsewhere
@@ -51,10 +56,10 @@ def split_edges(primary: DataFrame, texts: DataFrame, bags: DataFrame, threshold
         "old_line",
         F.explode(F.array(F.col("new_line") - 1, F.col("new_line") + 1)).alias("new_line"),
     )
-    return _scored(beside, texts, bags, threshold)
+    return _scored(beside, texts, contexts, threshold)
 
 
-def merge_edges(mapped: DataFrame, texts: DataFrame, bags: DataFrame, threshold: float) -> DataFrame:
+def merge_edges(mapped: DataFrame, texts: DataFrame, contexts: DataFrame, threshold: float) -> DataFrame:
     """Unmapped old lines that join the target of a mapped neighbour.
 
     ``mapped`` holds all edges so far. In every run of unmapped non-blank lines the
@@ -83,7 +88,7 @@ def merge_edges(mapped: DataFrame, texts: DataFrame, bags: DataFrame, threshold:
     upper = offered(free, F.col("first") - 1).select(
         "pair_id", "old_line", "new_line", "first", "last"
     )
-    reached = _scored(upper, texts, bags, threshold)
+    reached = _scored(upper, texts, contexts, threshold)
     # Lines reaching the threshold without a gap from the first one on.
     order = Window.partitionBy("pair_id", "first").orderBy("old_line")
     forward = (
@@ -96,5 +101,5 @@ def merge_edges(mapped: DataFrame, texts: DataFrame, bags: DataFrame, threshold:
         .select("pair_id", "old_line", "new_line")
         .join(forward, ["pair_id", "old_line"], "left_anti")
     )
-    backward = _scored(lower, texts, bags, threshold)
+    backward = _scored(lower, texts, contexts, threshold)
     return forward.unionByName(backward)

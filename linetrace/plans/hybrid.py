@@ -30,28 +30,11 @@ def exact_nonblank(pre_lines: DataFrame) -> DataFrame:
     return align.exact_edges(steps).join(old, ["pair_id", "old_line"], "left_semi")
 
 
-def _open(features: DataFrame, edges: DataFrame, side: str) -> DataFrame:
+def _open(contexts: DataFrame, edges: DataFrame, side: str) -> DataFrame:
+    """Features of the lines of one side that no edge names."""
     used = edges.select("pair_id", F.col(f"{side}_line").alias("line_no"))
-    return features.where(F.col("side") == side).join(used, ["pair_id", "line_no"], "left_anti")
-
-
-def prepare(lines: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Normal lines, exact edges and the features of the non-blank lines."""
-    pre = checkpointed(context.normal_lines(lines))
-    exact = checkpointed(exact_nonblank(pre))
-    features = context.context_bags(context.structured(context.context_of(pre)))
-    return pre, exact, features
-
-
-def scored_candidates(lines: DataFrame, k: int = candidates.CANDIDATES) -> DataFrame:
-    """Scores of the candidates of the lines the exact alignment leaves open.
-
-    The score is null where it cannot reach the match threshold.
-    """
-    _, exact, features = prepare(lines)
-    return candidates.score_candidates(
-        _open(features, exact, "old"), _open(features, exact, "new"), MATCH_SCORE, k
-    )
+    left = contexts.where(F.col("side") == side).join(used, ["pair_id", "line_no"], "left_anti")
+    return context.context_bags(context.structured(left))
 
 
 def map_hybrid(
@@ -62,14 +45,16 @@ def map_hybrid(
     merge_score: float = MERGE_SCORE,
 ) -> DataFrame:
     """m:n line mapping: ``pair_id, old_line, new_line, kind, score``."""
-    pre, exact, features = prepare(lines)
+    pre = checkpointed(context.normal_lines(lines))
+    exact = checkpointed(exact_nonblank(pre))
+    contexts = context.context_of(pre)
     scored = candidates.score_candidates(
-        _open(features, exact, "old"), _open(features, exact, "new"), match_score, k
+        _open(contexts, exact, "old"), _open(contexts, exact, "new"), match_score, k
     )
     chosen = assign.assign_greedy(scored, match_score)
     primary = checkpointed(_kind(exact, "exact").unionByName(_kind(chosen, "greedy")))
     texts = context.structured(pre.where("pre <> ''"))
-    split = expand.split_edges(primary, texts, features, split_score)
+    split = expand.split_edges(primary, texts, contexts, split_score)
     mapped = checkpointed(primary.unionByName(_kind(split, "split")))
-    merged = expand.merge_edges(mapped, texts, features, merge_score)
+    merged = expand.merge_edges(mapped, texts, contexts, merge_score)
     return mapped.unionByName(_kind(merged, "merge"))
