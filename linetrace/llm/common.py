@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import sys
+
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,6 +14,11 @@ WHITE = r"[\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+def send_by_value(module: str) -> None:
+    """Functions of the module travel to executors whole: these need no copy of this package."""
+    cloudpickle.register_pickle_by_value(sys.modules[module])
+
+
 def whole(text: Column) -> Column:
     """The text; an empty one for null."""
     return F.coalesce(text, F.lit(""))

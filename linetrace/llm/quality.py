@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linetrace.llm.common import packed, white_words, whole
-from linetrace.session import checkpointed
+from linetrace.session import checkpointed, keep_where
 
 SYMBOLS = r"[#*$%&|<>]"
 WINDOW = 3
@@ -202,4 +202,5 @@ def quality_report(
 
 def quality_filter(documents: DataFrame, text_column: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The documents that no rule rejects, columns as they are."""
-    return quality_report(documents, text_column, rules).where("rejected_by is null").select("row.*")
+    report = quality_report(documents, text_column, rules)
+    return keep_where(report, F.col("rejected_by").isNull()).select("row.*")

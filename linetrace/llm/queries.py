@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linetrace.llm import decontaminate, quality, simhash
+from linetrace.llm import decontaminate, mixing, pii, quality, sharding, simhash, toxicity
+from linetrace.llm.common import whole
+from linetrace.session import checkpointed
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -55,3 +57,64 @@ def op7_quality(spark, sf_dir):
         F.expr(" or ".join(f"({rule.condition})" for rule in quality.BASE_RULES)).alias("base_failed"),
         F.col("rejected_by").isNull().alias("kept"),
     )
+
+
+@query
+def op8_mixing(spark, sf_dir):
+    text = F.col("text")
+    sizes = checkpointed(
+        table(spark, sf_dir, "documents").select(
+            "doc_id",
+            "source",
+            mixing.n_words(text).alias("n_words"),
+            mixing.random_key(F.col("doc_id"), F.md5(whole(text))).alias("mix_key"),
+        )
+    )
+    mixed = mixing.mix(sizes, F.col("source"), F.col("n_words"), F.col("mix_key"))
+    return mixed.select("row.doc_id", "size", "source_size", "target", "taken")
+
+
+@query
+def op10_sharding(spark, sf_dir):
+    text = whole(F.col("text"))
+    rows = checkpointed(
+        table(spark, sf_dir, "documents").select(
+            "doc_id",
+            (F.octet_length(text) + 16).cast("bigint").alias("size"),
+            F.crc32(text.cast("binary")).alias("text_crc32"),
+        )
+    )
+    placed = sharding.shuffled_shards(rows, by=("doc_id", "size", "text_crc32"))
+    return placed.select(
+        "row.doc_id",
+        "row.size",
+        "row.text_crc32",
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def _held_out(column: str):
+    return F.crc32(F.col(column).cast("string").cast("binary")) % 3 == 1
+
+
+@query
+def op2_toxicity(spark, sf_dir):
+    documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    sample = toxicity.training_sample(documents, labels, ~_held_out("doc_id"))
+    found = toxicity.scored(documents, toxicity.fit(sample))
+    return found.select("doc_id", F.coalesce(_held_out("doc_id"), F.lit(False)).alias("held_out"), "score", "predicted")
+
+
+@query
+def op5_pii(spark, sf_dir):
+    found = pii.personal_data(table(spark, sf_dir, "documents"))
+    counts = [
+        F.expr(f"cast(size(filter(base, s -> s.name = '{kind}')) as bigint)").alias(f"n_{kind}")
+        for kind in pii.KINDS
+    ]
+    return found.select(
+        "row.doc_id", *counts, F.sha2(pii.span_list("base"), 256).alias("base_sha256"), pii.span_list("spans").alias("spans")
+    )

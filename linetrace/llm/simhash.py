@@ -12,10 +12,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linetrace.llm.common import whole
+from linetrace.llm.common import send_by_value, whole
 from linetrace.llm.components import connected_components
 from linetrace.session import checkpointed
 
+send_by_value(__name__)
+
 BITS = 64
 PIVOTS_PER_BLOCK = 12
 PIVOT_SEED = 7

@@ -83,3 +83,32 @@ def quality_kept(text):
         words < 50 or 100 * repeats > 50 * words or 10 * symbols > 4 * words or 2 * capitals > chars
         or 5 * lines > words or chars < 2 * words or chars > 20 * words
     )
+
+
+BASE_PATTERNS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def personal_data(text):
+    """Counts of the kinds and the joined base spans."""
+    spans = []
+    for place, (kind, pattern) in enumerate(BASE_PATTERNS.items()):
+        for m in re.finditer(pattern, text or ""):
+            digits = [int(c) for c in m[0] if c in "0123456789"]
+            doubled = [d if k % 2 == 0 else (2 * d - 9 if d > 4 else 2 * d) for k, d in enumerate(reversed(digits))]
+            valid = {
+                "email": True,
+                "ip": all(int(p) <= 255 for p in m[0].split(".")) if kind == "ip" else False,
+                "card": 12 <= len(digits) <= 19 and sum(doubled) % 10 == 0,
+                "phone": 9 <= len(digits) <= 15,
+            }[kind]
+            if valid:
+                spans.append((m.start(), place, kind, m.end()))
+    spans.sort()
+    counts = Counter(s[2] for s in spans)
+    joined = ",".join(f"{kind}:{start}:{end}" for start, _, kind, end in spans)
+    return tuple(counts[k] for k in BASE_PATTERNS), joined
