@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from linetrace.llm.decontaminate import decontaminated
+from linetrace.llm.mixing import mixed_documents
 from linetrace.llm.quality import quality_filter
+from linetrace.llm.sharding import shuffled_shards
 from linetrace.llm.simhash import without_near_duplicates
 from linetrace.session import checkpointed
 
@@ -22,10 +24,21 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return decontaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixed_documents(docs)
+
+
+def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents in their shards and slots; the slot orders a shard."""
+    return shuffled_shards(docs).select("row.*", "shard", "slot")
+
+
 STAGES = [
     ("quality", quality),
     ("near_duplicates", near_duplicates),
     ("benchmark", benchmark),
+    ("mixing", mixing),
+    ("sharding", sharding),
 ]
 #: The stages have no SQL form (SimHash components); tests hold them against plain loops.
 ORACLE_SQL = None
