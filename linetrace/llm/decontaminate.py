@@ -106,7 +106,7 @@ def contamination(
     windows = checkpointed(item_windows(benchmark, item_id, item_text, span))
     words_of_window = windows.withColumn("words", F.split("win", " "))
     long_hashes = winnowed(words_of_window.where(F.col("length") == span), span, gram).select(
-        F.lit(span).alias("length"), F.explode("minima").alias("hash")
+        F.lit(span).alias("length"), F.explode_outer("minima").alias("hash")
     )
     short_hashes = words_of_window.where(F.col("length") < span).select(
         "length", F.xxhash64(F.transform("words", lambda w: F.xxhash64(w))).alias("hash")

@@ -1,5 +1,89 @@
-"""SQL for DuckDB with the results of the queries that SQL can express."""
+"""SQL for DuckDB with the results of the queries that SQL can express.
+
+SimHash, sharding and training order rest on XXH64 or keyed permutations, toxicity and
+added personal data on fitted models, URL verdicts on a tree that grows by tests: those
+queries have none and are tested against plain loops.
+"""
 
 from __future__ import annotations
 
 STATEMENTS: dict[str, str] = {}
+
+_BLANK = r"[\x20\x09-\x0D]+"
+_ROWS = "SELECT row_number() OVER () AS rid, doc_id, source, coalesce(text, '') AS text FROM documents"
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _item_words(column: str) -> str:
+    lowered = f"translate(coalesce({column}, ''), '{_UPPER}', '{_LOWER}')"
+    return f"list_filter(regexp_split_to_array({lowered}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda w: w <> '')"
+
+
+STATEMENTS["op4_decontaminate"] = f"""
+WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, {_item_words('text')} AS words FROM documents),
+items AS (SELECT item_id, {_item_words('text')} AS words FROM benchmark),
+sized AS (SELECT item_id, words, least(13, len(words)) AS size FROM items WHERE len(words) > 0),
+spans AS (SELECT DISTINCT item_id, size, words[s + 1 : s + size] AS win
+          FROM (SELECT *, unnest(range(len(words) - size + 1)) AS s FROM sized)),
+sizes AS (SELECT DISTINCT size FROM spans),
+places AS (SELECT rid, size, s, words[s + 1 : s + size] AS win
+           FROM (SELECT rid, words, size, unnest(range(len(words) - size + 1)) AS s
+                 FROM docs, sizes WHERE len(words) >= size)),
+hits AS (SELECT rid, p.size, s, item_id FROM places p JOIN spans USING (size, win)),
+counted AS (SELECT rid, count(DISTINCT w) AS n_hit FROM (SELECT rid, unnest(range(s, s + size)) AS w FROM hits) GROUP BY rid),
+listed AS (SELECT rid, count(DISTINCT item_id) AS n_items,
+                  string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids
+           FROM hits GROUP BY rid)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
+FROM docs LEFT JOIN counted USING (rid) LEFT JOIN listed USING (rid)"""
+
+STATEMENTS["op7_quality"] = f"""
+WITH docs AS ({_ROWS}),
+cut AS (SELECT rid, doc_id, text,
+               list_filter(regexp_split_to_array(text, '{_BLANK}'), lambda w: w <> '') AS words,
+               list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '[^\\x20\\x09-\\x0D]')) AS lines
+        FROM docs),
+grams AS (SELECT rid, i, words[i : i + 2] AS gram FROM (SELECT rid, words, unnest(range(1, len(words) - 1)) AS i FROM cut)),
+twice AS (SELECT rid, i FROM grams QUALIFY count(*) OVER (PARTITION BY rid, gram) > 1),
+covered AS (SELECT rid, count(DISTINCT w) AS n FROM (SELECT rid, unnest(range(i, i + 3)) AS w FROM twice) GROUP BY rid),
+counts AS (SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words,
+                  CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+                  CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+                  CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+                  CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words,
+                  length(regexp_replace(text, '[^A-Z]', '', 'g')) AS n_upper
+           FROM cut LEFT JOIN covered USING (rid))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words OR 10 * n_symbols > 4 * n_words
+            OR 2 * n_upper > word_chars OR 5 * n_dup_lines > n_words
+            OR word_chars < 2 * n_words OR word_chars > 20 * n_words) AS kept
+FROM counts"""
+
+STATEMENTS["op8_mixing"] = f"""
+WITH docs AS ({_ROWS}),
+sized AS (SELECT rid, doc_id, source, CAST(len(list_filter(regexp_split_to_array(text, '{_BLANK}'), lambda w: w <> '')) AS BIGINT) AS size,
+                 md5('mix-1|' || coalesce(CAST(doc_id AS VARCHAR), '') || '|' || md5(text)) AS key
+          FROM docs),
+sources AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+                   row_number() OVER (ORDER BY source NULLS LAST) - 1 AS no
+            FROM sized GROUP BY source),
+weighed AS (SELECT *, [5, 2, 1][no % 3 + 1] AS weight, 2.0::DOUBLE * source_size AS lim,
+                   2.0::DOUBLE * source_size / [5, 2, 1][no % 3 + 1] AS ratio FROM sources),
+levels AS (SELECT *, row_number() OVER (ORDER BY ratio, no) AS place,
+                  (1.5::DOUBLE * sum(source_size) OVER ()
+                   - coalesce(sum(lim) OVER (ORDER BY ratio, no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+                  / sum(weight) OVER (ORDER BY ratio, no ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+           FROM weighed),
+chosen AS (SELECT arg_min(level, place) AS level FROM levels WHERE level < ratio),
+targets AS (SELECT l.source, l.source_size, coalesce(least(l.lim, c.level * l.weight), l.lim) AS target FROM levels l, chosen c),
+placed AS (SELECT s.*, t.source_size, t.target, CAST(round(t.target) AS BIGINT) AS budget,
+                  coalesce(sum(s.size) OVER (PARTITION BY s.source ORDER BY s.key, s.size, s.rid
+                           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+           FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source),
+dealt AS (SELECT *, CASE WHEN source_size > 0 THEN budget // source_size ELSE 0 END AS epochs FROM placed)
+SELECT doc_id, size, source_size, target,
+       CAST(epochs * size + greatest(0, least(size, budget - epochs * source_size - before)) AS BIGINT) AS taken
+FROM dealt"""

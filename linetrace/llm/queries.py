@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linetrace.llm import decontaminate, mixing, pii, quality, sharding, simhash, toxicity
+from linetrace.llm import (
+    decontaminate,
+    line_dedup,
+    mixing,
+    pii,
+    quality,
+    sharding,
+    simhash,
+    toxicity,
+    training_order,
+    url_filter,
+)
 from linetrace.llm.common import whole
 from linetrace.session import checkpointed
 
@@ -118,3 +129,39 @@ def op5_pii(spark, sf_dir):
     return found.select(
         "row.doc_id", *counts, F.sha2(pii.span_list("base"), 256).alias("base_sha256"), pii.span_list("spans").alias("spans")
     )
+
+
+#: The given rules.
+URL_RULES = [
+    url_filter.UrlRule("org", "/", "allow"),
+    url_filter.UrlRule("example.org", "/es/", "block"),
+    url_filter.UrlRule("example.org", "/en/1", "block"),
+    url_filter.UrlRule("com", "/fr/", "allow"),
+    url_filter.UrlRule("com", "/de/", "block"),
+]
+
+
+@query
+def op1_url_filter(spark, sf_dir):
+    found = url_filter.judged_urls(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
+    return found.select("row.page_id", "host", "path", "rule", "verdict")
+
+
+#: Public vocabulary and the word pattern that belongs to it; 50256 is free in it.
+VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
+WORD_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+END_OF_TEXT = 50256
+
+
+@query
+def op6_training_order(spark, sf_dir):
+    ordered = training_order.training_order(
+        table(spark, sf_dir, "documents"), VOCABULARY, WORD_PATTERN, END_OF_TEXT
+    )
+    return ordered.select("shard", "slot", "sequence", "n_tokens", F.crc32("tokens").alias("tokens_crc32"))
+
+
+@query
+def op9_line_dedup(spark, sf_dir):
+    found = line_dedup.line_classes(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.md5("line").alias("line_md5"), "copies", "n_links", "class_line", "class_doc_id")

@@ -112,3 +112,36 @@ def personal_data(text):
     counts = Counter(s[2] for s in spans)
     joined = ",".join(f"{kind}:{start}:{end}" for start, _, kind, end in spans)
     return tuple(counts[k] for k in BASE_PATTERNS), joined
+
+
+def mix_targets(sizes, weights=(5, 2, 1), share=1.5, most=2.0):
+    """Targets by sharing what is over again and again."""
+    names = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: weights[k % len(weights)] for k, s in enumerate(names)}
+    left, open_, out = share * sum(sizes.values()), set(names), {}
+    while open_:
+        level = left / sum(weight[s] for s in open_)
+        over = [s for s in open_ if level * weight[s] > most * sizes[s]]
+        if not over:
+            return out | {s: level * weight[s] for s in open_}
+        for s in over:
+            out[s] = most * sizes[s]
+            left -= out[s]
+            open_.discard(s)
+    return out
+
+
+def judged(url, rules):
+    m = re.match(r"(?s).*?://([^/?#]*)([^?#]*)", url or "")
+    host, path = (m[1].translate(LOWERED), m[2]) if m else ("", "")
+    fits = [h + p for h, p in rules if (host == h or host.endswith("." + h)) and path.startswith(p)]
+    return host, path, max(fits, key=len, default=None)
+
+
+def edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
