@@ -134,9 +134,12 @@ def merge(
     decisions: DataFrame,
     old_name: str = "old",
     new_name: str = "new",
+    pairs: DataFrame | None = None,
 ) -> DataFrame:
     """``pair_id, merged``; null when a decision is missing, unknown or ``q``.
 
+    ``pairs`` names all pairs: those without a line on either side merge to an empty text.
+
     Equal hunks keep the left text. ``l`` and ``r`` take a side. Edit choices take
     ``edited_text`` when given, otherwise the text an editor would start from: one
     side, both (``eb``), both under headers (``ed``) or nothing (``e``).
@@ -167,11 +170,15 @@ def merge(
         .select("pair_id", "hunk_no", piece.alias("piece"))
     )
     ordered = F.sort_array(F.collect_list(F.struct("hunk_no", "piece")))
-    return chosen.groupBy("pair_id").agg(
+    merged = chosen.groupBy("pair_id").agg(
         F.when(
             F.bool_and(F.col("piece").isNotNull()), F.array_join(ordered["piece"], "")
         ).alias("merged")
     )
+    if pairs is None:
+        return merged
+    lacking = pairs.select("pair_id").distinct().join(merged, "pair_id", "left_anti")
+    return merged.union(lacking.select("pair_id", F.lit("").alias("merged")))
 
 
 def facing_lines(steps: DataFrame) -> DataFrame:

@@ -48,10 +48,18 @@ def statement(uses: str, select: str) -> str:
     return f"{_with(uses.split())}\n{select}"
 
 
-cte("chained", "", """
-    SELECT doc_id, text,
-           lag(doc_id) OVER (PARTITION BY left(text, 40) ORDER BY doc_id) AS prev
-    FROM documents WHERE text IS NOT NULL""")
+cte("line_votes", "", r"""
+    SELECT doc_id, prev AS old_id, count(*) AS votes
+    FROM (SELECT doc_id, lag(doc_id) OVER (PARTITION BY line ORDER BY doc_id) AS prev
+          FROM (SELECT DISTINCT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents WHERE text IS NOT NULL)
+          WHERE regexp_matches(line, '[^\x09-\x0D\x20]'))
+    WHERE prev IS NOT NULL GROUP BY doc_id, prev""")
+cte("chained", "line_votes", """
+    SELECT d.doc_id, d.text, v.old_id AS prev
+    FROM documents d
+    LEFT JOIN (SELECT * FROM line_votes
+               QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY votes DESC, old_id DESC) = 1) v USING (doc_id)
+    WHERE d.text IS NOT NULL""")
 cte("versions", "chained", """
     SELECT CAST(doc_id AS VARCHAR) AS pair_id, 'new' AS side, text FROM chained WHERE prev IS NOT NULL
     UNION ALL
@@ -459,9 +467,9 @@ def report_tables(p: str, mapping: str, lines: str, none: bool) -> None:
         SELECT pair_id, side, CASE side WHEN 'old' THEN 2 ELSE 3 END AS section, line_no
         FROM ({unmatched_sql(lines, mapping)})""")
     heading = f"""
-        SELECT DISTINCT pair_id, section FROM (SELECT pair_id, unnest([2, 3]) AS section FROM {lines})""" if none else f"""
+        SELECT DISTINCT pair_id, section FROM (SELECT pair_id, unnest([2, 3]) AS section FROM versions)""" if none else f"""
         SELECT DISTINCT pair_id, section FROM {p}_left"""
-    cte(f"{p}_sections", f"{p}_left {lines}", heading)
+    cte(f"{p}_sections", f"{p}_left {lines} versions", heading)
     nothing = f"""
         UNION ALL SELECT pair_id, section, 1, '(none)' FROM {p}_sections s
         WHERE NOT EXISTS (SELECT 1 FROM {p}_left l WHERE l.pair_id = s.pair_id AND l.section = s.section)""" if none else ""
@@ -498,6 +506,12 @@ def statements() -> dict[str, str]:
               WHEN 'removed' THEN '- Line ' || line_no || ': removed -> ' || old_text
               ELSE '~ Line ' || line_no || ': changed from ''' || old_text || ''' to ''' || new_text || '''' END AS value
             FROM compared"""),
+        "pair_votes": statement("line_votes", "SELECT doc_id, old_id, votes FROM line_votes"),
+        "ordered_report": statement("ended_hunks", """
+            SELECT pair_id, 1 AS section, CAST(i1 + k AS INTEGER) AS line, (i1 + k) || ' -> ' || (j1 + k) AS value,
+                   CAST(row_number() OVER (PARTITION BY pair_id ORDER BY i1 + k) AS INTEGER) AS row_no
+            FROM (SELECT *, unnest(range(1, least(i2 - i1, j2 - j1) + 1)) AS k
+                  FROM ended_hunks WHERE tag IN ('equal', 'replace'))"""),
         "pair_status": statement("versions", """
             SELECT o.pair_id, CAST(o.text <> n.text AS INTEGER) AS status
             FROM versions o JOIN versions n USING (pair_id) WHERE o.side = 'old' AND n.side = 'new'"""),

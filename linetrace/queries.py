@@ -15,7 +15,7 @@ from linetrace.plans.hybrid import map_hybrid
 from linetrace.plans.ranges import map_ranges
 from linetrace.session import checkpointed
 from linetrace.sinks import reports
-from linetrace.sources.documents import conversation_versions, document_versions, load
+from linetrace.sources.documents import conversation_versions, document_versions, load, pair_votes as line_votes, version_pairs
 from linetrace.sources.lines import split_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,11 @@ def query(function: Query) -> Query:
     return function
 
 
+def pairs_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = version_pairs(load(spark, sf_dir, "documents"))
+    return pairs.select(F.col("doc_id").cast("string").alias("pair_id"))
+
+
 def lines_of(spark: SparkSession, sf_dir: str, mode: str = "newline") -> DataFrame:
     return split_lines(document_versions(load(spark, sf_dir, "documents")), mode)
 
@@ -58,6 +63,12 @@ def foreign_ranges(lines: DataFrame) -> DataFrame:
     )
 
 
+@query
+def pair_votes(spark, sf_dir):
+    """How many lines of a document have their last earlier holder in which document."""
+    return line_votes(load(spark, sf_dir, "documents"))
+
+
 @query
 def version_lines(spark, sf_dir):
     return lines_of(spark, sf_dir)
@@ -147,7 +158,7 @@ def hunk_sizes(spark, sf_dir):
 @query
 def pair_status(spark, sf_dir):
     lines = lines_of(spark, sf_dir)
-    return merge.pair_status(merge.hunks_with_ends(lines), lines)
+    return merge.pair_status(merge.hunks_with_ends(lines), pairs_of(spark, sf_dir))
 
 
 @query
@@ -231,7 +242,7 @@ def hybrid_report(spark, sf_dir):
     lines = lines_of(spark, sf_dir)
     mapping = checkpointed(map_hybrid(lines))
     counted = context.normal_lines(lines).where("pre <> ''")
-    return reports.mapping_report(mapping, counted, empty="none")
+    return reports.mapping_report(mapping, counted, empty="none", pairs=pairs_of(spark, sf_dir))
 
 
 @query
@@ -322,7 +333,7 @@ def decisions_of(steps: DataFrame) -> DataFrame:
 def merged_text(spark, sf_dir):
     lines = lines_of(spark, sf_dir)
     steps = checkpointed(merge.hunks_with_ends(lines))
-    return merge.merge(lines, steps, decisions_of(steps))
+    return merge.merge(lines, steps, decisions_of(steps), pairs=pairs_of(spark, sf_dir))
 
 
 @query
@@ -330,3 +341,13 @@ def dash_mapping(spark, sf_dir):
     """``i-j`` rows of the lines that equal or replace hunks set side by side."""
     steps = checkpointed(hunks(spark, sf_dir))
     return reports.mapping_rows(merge.facing_lines(steps), "dash")
+
+
+@query
+def ordered_report(spark, sf_dir):
+    """Positional report of the pairs, mapped rows only, numbered in the order of the text."""
+    steps = checkpointed(hunks(spark, sf_dir))
+    report = reports.mapping_report(
+        merge.facing_lines(steps), lines_of(spark, sf_dir), style="arrow", show_unmatched=False
+    )
+    return reports.ordered_report(report)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from linetrace.session import checkpointed
+
 # Rows of one group are ordered inside buckets of this many consecutive numbers,
 # so a group holding a third of the table is still spread over many tasks.
 BUCKET = 1 << 16
@@ -59,16 +61,39 @@ def _versions(chained: DataFrame, own: F.Column, next_: F.Column) -> DataFrame:
     )
 
 
-def document_versions(documents: DataFrame, prefix: int = 40) -> DataFrame:
-    """New version = a document, old version = the last earlier one that starts alike.
+def pair_votes(documents: DataFrame) -> DataFrame:
+    """``doc_id, old_id, votes``: lines whose last earlier holder is document ``old_id``.
+
+    Every non-blank line of a document counts once, compared as a whole text.
+    """
+    held = (
+        documents.where("text is not null and doc_id is not null")
+        .select("doc_id", F.explode(F.array_distinct(F.split("text", "\n"))).alias("line"))
+        .where(F.col("line").rlike(r"[^\x09-\x0D\x20]"))
+    )
+    chained = chain_neighbours(held, ["line"], "doc_id").where("previous is not null")
+    return chained.groupBy("doc_id", F.col("previous").alias("old_id")).agg(F.count("*").alias("votes"))
+
+
+def version_pairs(documents: DataFrame) -> DataFrame:
+    """``doc_id, old_id``: the earlier document with most votes, the largest id if several."""
+    best = F.max(F.struct("votes", "old_id")).alias("best")
+    return pair_votes(documents).groupBy("doc_id").agg(best).select("doc_id", "best.old_id")
+
+
+def document_versions(documents: DataFrame) -> DataFrame:
+    """New version = a document, old version = the earlier one it shares most lines with.
 
-    Alike means the same first ``prefix`` characters; the texts stay whole.
+    A document without an earlier holder of one of its lines is no new version.
     """
-    heads = documents.where("text is not null").select(
-        F.substring("text", 1, prefix).alias("head"), "doc_id", "text"
+    pairs = checkpointed(version_pairs(documents))
+    texts = documents.where("text is not null").select("doc_id", "text")
+    name = F.col("pair.doc_id").cast("string").alias("pair_id")
+    new = texts.alias("d").join(pairs.alias("pair"), F.col("d.doc_id") == F.col("pair.doc_id"))
+    old = texts.alias("d").join(pairs.alias("pair"), F.col("d.doc_id") == F.col("pair.old_id"))
+    return new.select(name, F.lit("new").alias("side"), "text").union(
+        old.select(name, F.lit("old").alias("side"), "text")
     )
-    chained = chain_neighbours(heads, ["head"], "doc_id")
-    return _versions(chained, F.col("doc_id"), F.col("following"))
 
 
 def conversation_versions(conversations: DataFrame) -> DataFrame:

@@ -66,9 +66,12 @@ def test_chain_neighbours_over_buckets(spark, bucket):
 
 
 def test_document_versions(spark):
-    head = "h" * 40
-    docs = spark.createDataFrame(
-        [(1, head + "one"), (2, "other"), (3, head + "two"), (4, head + "three")], "doc_id bigint, text string"
-    )
-    rows = {(r.pair_id, r.side): r.text[40:] for r in document_versions(docs).collect()}
-    assert rows == {("3", "old"): "one", ("3", "new"): "two", ("4", "old"): "two", ("4", "new"): "three"}
+    rows = [
+        (1, "first\nshared\nmore"), (2, "other"), (3, "new head\nshared\nmore"), (4, "shared\n\nother"), (5, None), (6, "\n \n"),
+        (7, "shared"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {(r.pair_id, r.side): r.text for r in document_versions(docs).collect()}
+    text = dict(rows)
+    # 4 shares a line with 3 and one with 2: the later wins; 7 has its only line last in 4.
+    assert got == {(str(n), s): text[d] for n, o in ((3, 1), (4, 3), (7, 4)) for s, d in (("new", n), ("old", o))}

@@ -32,9 +32,32 @@ def test_mapping_report(spark, make_lines, tmp_path):
     none = ["", reports.DELETED, "(none)", "", reports.ADDED, "(none)"]
     assert texts(reports.mapping_report(mapping, lines, empty="none")) == p + q + none
     assert texts(reports.mapping_report(mapping, lines, style="dash", show_unmatched=False)) == ["1-1, 2, 3", "1-1"]
-    reports.write_report(reports.mapping_report(mapping, lines), str(tmp_path / "out"))
+    report = reports.mapping_report(mapping, lines)
+    reports.write_report(report, str(tmp_path / "out"), folder_per_pair=True)
     (part,) = (tmp_path / "out" / "pair_id=p").glob("*.txt")
     assert part.read_text().split("\n")[:-1] == p
+    reports.write_report(report, str(tmp_path / "files"), buckets=2)
+    rows = [x for f in (tmp_path / "files").glob("*.txt") for x in f.read_text().split("\n")[:-1]]
+    assert [x for x in rows if x[0] == "p"] == [f"p\t{x}" for x in p] and len(rows) == len(p + q)
+    reports.write_table(mapping, str(tmp_path / "table"), buckets=2)
+    assert spark.read.parquet(str(tmp_path / "table")).count() == len(edges)
+    numbers = [r.row_no for r in reports.ordered_report(report).where("pair_id = 'p'").orderBy("section", "line").collect()]
+    assert numbers == list(range(1, len(p) + 1))
+
+
+def test_pairs_without_lines(spark, make_lines):
+    lines = make_lines({"ok": (["a"], ["b"]), "blank": (["", ""], [""])})
+    pairs = spark.createDataFrame([("ok",), ("blank",), ("empty",)], "pair_id string")
+    steps = merge.hunks_with_ends(lines)
+    status = {r.pair_id: r.status for r in merge.pair_status(steps, pairs).collect()}
+    assert status == {"ok": 1, "blank": 1, "empty": 0}
+    choices = steps.where("tag <> 'equal'").selectExpr("pair_id", "hunk_no", "'r' choice", "cast(null as string) edited_text")
+    merged = {r.pair_id: r.merged for r in merge.merge(lines, steps, choices, pairs=pairs).collect()}
+    assert merged == {"ok": "b\n", "blank": "\n", "empty": ""}
+    none = spark.createDataFrame([], "pair_id string, old_line int, new_line int")
+    report = reports.mapping_report(none, lines.where("text <> ''"), empty="none", pairs=pairs)
+    nothing = ["", reports.DELETED, "(none)", "", reports.ADDED, "(none)"]
+    assert texts(report.where("pair_id = 'empty'")) == nothing == texts(report.where("pair_id = 'blank'"))
 
 
 def test_side_by_side(make_lines):
