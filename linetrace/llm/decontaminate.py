@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linetrace.llm.common import ascii_lower, packed, pieces, text_key, whole
+from linetrace.llm.common import LOWER, UPPER, ascii_lower, packed, pieces, text_key, whole
 from linetrace.session import checkpointed
 
 #: Words of a window that counts as shared.
@@ -119,10 +119,10 @@ def contamination(
         """Add ``prints``: ``(length, s, hash)`` arrays by window length."""
         df = winnowed(df, span, gram)
         for length in short:
+            lowered = f"if(lower(w) = w, w, translate(w, '{UPPER}', '{LOWER}'))"
             part = F.expr(
                 f"transform(sequence(0, size(words) - {length}), i ->"
-                f" xxhash64(transform(slice(words, i + 1, {length}), w -> xxhash64(if(lower(w) = w, w, translate(w,"
-                " 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')))))"
+                f" xxhash64(transform(slice(words, i + 1, {length}), w -> xxhash64({lowered}))))"
             )
             df = df.withColumn(f"short{length}", F.when(F.size("words") >= length, part))
         return df
