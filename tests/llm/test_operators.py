@@ -188,7 +188,7 @@ def test_mixing(repeated, none):
         assert 0 <= r.taken <= 2 * r["size"] and r.source_size == sizes[r.source]
         assert abs(r.target - want[r.source]) < 1e-6
         taken[r.source] += r.taken
-    assert all(taken[s] == round(want[s]) for s in sizes)
+    assert all(abs(taken[s] - want[s]) <= 0.5 for s in sizes)
     out = mixing.mixed_documents(repeated)
     assert out.columns == repeated.columns and sizes_by_source(out) == {s: t for s, t in taken.items() if t}
     assert mixing.mixed_documents(none).count() == 0
@@ -338,8 +338,8 @@ def test_line_links(spark, crowd):
             lines.add("".join(chars))
     lines |= {"a" * n for n in range(20, 26)} | {"ab" * 12, "ab" * 12 + "a"}
     lines = sorted(x for x in lines if len(x) >= 20)
-    df = spark.createDataFrame([(k, x, len(x)) for k, x in enumerate(lines)], "id bigint, line string, n int")
-    got = sorted(tuple(r) for r in line_dedup.linked_lines(df, 2, crowd).collect())
+    df = spark.createDataFrame([(k, -k, x, len(x)) for k, x in enumerate(lines)], "h1 bigint, h2 bigint, line string, n int")
+    got = sorted(tuple(sorted((r.a.h1, r.b.h1))) for r in line_dedup.linked_lines(df, 2, crowd).collect())
     want = [(i, j) for i in range(len(lines)) for j in range(i + 1, len(lines)) if plain.edits(lines[i], lines[j]) <= 2]
     assert got == want
 
