@@ -24,7 +24,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8) -> SparkSe
     )
 
 
-def _scratch(spark: SparkSession) -> str:
+def scratch_folder(spark: SparkSession) -> str:
     """The session's checkpoint folder, as ``spark.checkpoint.dir`` names it.
 
     Only a local session without that setting gets a temporary folder; a cluster
@@ -47,7 +47,7 @@ def checkpointed(df: DataFrame) -> DataFrame:
     Unlike ``DataFrame.checkpoint`` the new plan starts from files alone: loops do
     not pile up plan constraints, and joins see the real size of the table.
     """
-    path = f"{_scratch(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    path = f"{scratch_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
