@@ -71,7 +71,7 @@ def _with_popular(keys: DataFrame, sizes: DataFrame, autojunk: bool) -> DataFram
 
 
 def _routed(positions: DataFrame, leaf: int) -> DataFrame:
-    """Drop one-sided regions; mark the others for cutting (``cut``) or not."""
+    """Drop regions without an equal line; mark the others for cutting (``cut``) or not."""
     per_key = positions.groupBy(*REGION, "key").agg(
         F.count_if(F.col("side") == "old").alias("a"),
         F.count_if(F.col("side") == "new").alias("b"),
@@ -85,8 +85,9 @@ def _routed(positions: DataFrame, leaf: int) -> DataFrame:
             F.sum("a").alias("n_old"),
             F.sum("b").alias("n_new"),
             F.sum(seeds).alias("seeds"),
+            F.sum(F.col("a") * F.col("b")).alias("hits"),
         )
-        .where("n_old > 0 and n_new > 0")
+        .where("n_old > 0 and n_new > 0 and hits > 0")
         .select(
             *REGION,
             (

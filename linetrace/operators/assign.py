@@ -56,20 +56,21 @@ def assign_greedy(
 
     An edge is taken when both its lines are free. A pair with at most
     ``fold_edges`` edges is one sorted row; larger pairs go in distributed rounds
-    that take every edge which is first for both of its lines, with the same result.
+    that take every edge which is first for both of its lines, with the same result,
+    until so few edges are left.
     """
     edges = checkpointed(edges.select("pair_id", "old_line", "new_line", "score"))
     edges = edges.where(F.col("score") >= threshold)
-    large = edges.groupBy("pair_id").count().where(F.col("count") > fold_edges).select("pair_id")
-    large = checkpointed(large)
-    if large.isEmpty():
-        return _fold(edges)
-    result = _fold(edges.join(large, "pair_id", "left_anti"))
-    left = edges.join(large, "pair_id", "left_semi")
+    result, left = None, edges
     while True:
-        taken = checkpointed(_mutual_best(left))
-        if taken.isEmpty():
+        large = left.groupBy("pair_id").count().where(F.col("count") > fold_edges).select("pair_id")
+        large = checkpointed(large)
+        folded = _fold(left.join(large, "pair_id", "left_anti"))
+        result = folded if result is None else result.unionByName(folded)
+        if large.isEmpty():
             return result
+        left = left.join(large, "pair_id", "left_semi")
+        taken = checkpointed(_mutual_best(left))
         result = result.unionByName(taken)
         for side in ("old_line", "new_line"):
             left = left.join(taken.select("pair_id", side), ["pair_id", side], "left_anti")

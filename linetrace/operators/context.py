@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from linetrace.functions import text as T
 
+# Fixed value.
 CONTEXT_LINES = 4
 
 

@@ -77,7 +77,25 @@ def lines_body(source: str) -> str:
                 FROM {source}))"""
 
 
+SENTENCES = "replace(text, '. ', '.' || chr(10) || chr(10))"
+
+
+def shaped(sql: str, new: str, old: str = "") -> str:
+    """The statement over changed texts of the new and the old versions."""
+    old = old or new.replace("text", "b.text")
+    return sql.replace("'new' AS side, text FROM chained", f"'new' AS side, {new} AS text FROM chained").replace(
+        "'old', b.text FROM chained", f"'old', {old} FROM chained"
+    )
+
+
 cte("lines", "versions", lines_body("versions"))
+cte("unicode_rows", "versions", r"""
+    SELECT pair_id, side, CAST(k AS INTEGER) AS line_no, parts[k] AS text, (k < len(parts)) AS has_eol
+    FROM (SELECT pair_id, side, parts,
+                 unnest(range(1, len(parts) + CASE WHEN parts[len(parts)] = '' THEN 0 ELSE 1 END)) AS k
+          FROM (SELECT pair_id, side,
+                       regexp_split_to_array(text, '\r\n|[\r\n\x0b\x0c\x1c-\x1e\x{85}\x{2028}\x{2029}]') AS parts
+                FROM versions))""")
 cte("turns", "", """
     SELECT conv_id, role, turn, text,
            lag(turn) OVER (PARTITION BY conv_id, role ORDER BY turn) AS prev
@@ -278,6 +296,17 @@ cte("pieces", "hunk_texts", f"""
     FROM hunk_texts""")
 
 
+cte("cancelled_pieces", "hunk_texts", f"""
+    SELECT pair_id, hunk_no, CASE
+      WHEN tag = 'equal' THEN old_raw
+      ELSE CASE hunk_no % 9
+        WHEN 0 THEN old_raw WHEN 1 THEN new_raw WHEN 2 THEN 'edited' || chr(10) WHEN 3 THEN new_full
+        WHEN 4 THEN old_full || new_full
+        WHEN 5 THEN {header_sql("---", "old", "i1", "i2")} || old_full || {header_sql("+++", "new", "j1", "j2")} || new_full
+        WHEN 6 THEN '' END END AS piece
+    FROM hunk_texts""")
+
+
 def foreign(p: str, source: str, key: str) -> None:
     cte(f"foreign_{p}", source, f"""
         SELECT * FROM {source} l WHERE NOT EXISTS (
@@ -492,11 +521,26 @@ report_tables("range", "range_mapping", "lines", none=False)
 def statements() -> dict[str, str]:
     return {
         "version_lines": statement("lines", "SELECT pair_id, side, line_no, text, has_eol FROM lines"),
-        "unicode_lines": statement(
-            "lines",
-            "SELECT pair_id, side, max(line_no) AS n_lines, CAST(sum(length(text)) AS BIGINT) AS n_chars"
-            " FROM lines GROUP BY pair_id, side",
+        "unicode_lines": shaped(statement("unicode_rows", "SELECT * FROM unicode_rows"), "replace(text, ', ', chr(8232))"),
+        "long_blank_lines": shaped(
+            statement("normal", "SELECT pair_id, side, line_no FROM normal WHERE pre = ''"), SENTENCES
+        ),
+        "long_hunks": shaped(statement("ended_hunks", "SELECT * FROM ended_hunks"), SENTENCES),
+        "long_range_map": shaped(
+            statement("range_mapping", """
+            SELECT pair_id, old_line, new_line, kind, round(score, 6) AS score FROM range_mapping"""),
+            SENTENCES,
+        ),
+        "doubled_hybrid_map": shaped(
+            statement("hybrid_mapping", """
+            SELECT pair_id, old_line, new_line, kind, round(score, 6) AS score FROM hybrid_mapping"""),
+            "text",
+            r"regexp_replace(b.text, '([^\n]+)', '\1' || chr(10) || '\1', 'g')",
         ),
+        "replaced_bytes": r"SELECT doc_id, regexp_replace(text, '[^\x00-\x7F]', chr(65533), 'g') AS text FROM documents",
+        "merge_cancelled": statement("cancelled_pieces", """
+            SELECT pair_id, CASE WHEN bool_and(piece IS NOT NULL) THEN string_agg(piece, '' ORDER BY hunk_no) END AS merged
+            FROM cancelled_pieces GROUP BY pair_id"""),
         "positional_compare": statement("compared", "SELECT * FROM compared"),
         "conversation_compare": statement("turns_compared", "SELECT * FROM turns_compared"),
         "positional_report": statement("compared", """

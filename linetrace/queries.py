@@ -16,7 +16,7 @@ from linetrace.plans.ranges import map_ranges
 from linetrace.session import checkpointed
 from linetrace.sinks import reports
 from linetrace.sources.documents import conversation_versions, document_versions, load, pair_votes as line_votes, version_pairs
-from linetrace.sources.lines import split_lines
+from linetrace.sources.lines import decoded, split_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -74,11 +74,52 @@ def version_lines(spark, sf_dir):
     return lines_of(spark, sf_dir)
 
 
+def shaped_lines(spark: SparkSession, sf_dir: str, new: str, old: str | None = None, mode: str = "newline") -> DataFrame:
+    """Lines of the version pairs after SQL over ``text`` has changed both sides."""
+    versions = document_versions(load(spark, sf_dir, "documents"))
+    shaped = f"case side when 'new' then {new} else {new if old is None else old} end"
+    return split_lines(versions.withColumn("text", F.expr(shaped)), mode)
+
+
+# A line and a blank line for every sentence: blank, popular and many lines.
+SENTENCES = r"replace(text, '. ', '.\n\n')"
+# Every line of the old side twice: lines that merge.
+DOUBLED = r"regexp_replace(text, '([^\\n]+)', '$1\n$1')"
+# A Unicode line separator for every comma.
+SEPARATED = r"replace(text, ', ', '\u2028')"
+
+
 @query
 def unicode_lines(spark, sf_dir):
-    return lines_of(spark, sf_dir, "unicode").groupBy("pair_id", "side").agg(
-        F.max("line_no").alias("n_lines"), F.sum(F.length("text")).alias("n_chars")
-    )
+    return shaped_lines(spark, sf_dir, SEPARATED, mode="unicode")
+
+
+@query
+def long_blank_lines(spark, sf_dir):
+    lines = context.normal_lines(shaped_lines(spark, sf_dir, SENTENCES))
+    return lines.where("pre = ''").select("pair_id", "side", "line_no")
+
+
+@query
+def long_hunks(spark, sf_dir):
+    return merge.hunks_with_ends(shaped_lines(spark, sf_dir, SENTENCES))
+
+
+@query
+def long_range_map(spark, sf_dir):
+    return map_ranges(shaped_lines(spark, sf_dir, SENTENCES)).withColumn("score", F.round("score", 6))
+
+
+@query
+def doubled_hybrid_map(spark, sf_dir):
+    return map_hybrid(shaped_lines(spark, sf_dir, "text", DOUBLED)).withColumn("score", F.round("score", 6))
+
+
+@query
+def replaced_bytes(spark, sf_dir):
+    """Texts read as UTF-8 although they are written in another encoding."""
+    content = F.encode("text", "ISO-8859-1")
+    return load(spark, sf_dir, "documents").select("doc_id", decoded(content, "replace").alias("text"))
 
 
 @query
@@ -351,3 +392,19 @@ def ordered_report(spark, sf_dir):
         merge.facing_lines(steps), lines_of(spark, sf_dir), style="arrow", show_unmatched=False
     )
     return reports.ordered_report(report)
+
+
+@query
+def merge_cancelled(spark, sf_dir):
+    """Merge with edited texts, a cancelling choice and hunks without a decision."""
+    lines = lines_of(spark, sf_dir)
+    steps = checkpointed(merge.hunks_with_ends(lines))
+    choices = F.array(*[F.lit(c) for c in ("l", "r", "el", "er", "eb", "ed", "e", "q")])
+    place = F.col("hunk_no") % 9
+    decisions = steps.where("tag <> 'equal' and hunk_no % 9 < 8").select(
+        "pair_id",
+        "hunk_no",
+        F.get(choices, place).alias("choice"),
+        F.when(place == 2, "edited\n").alias("edited_text"),
+    )
+    return merge.merge(lines, steps, decisions, pairs=pairs_of(spark, sf_dir))

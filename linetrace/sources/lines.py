@@ -14,6 +14,15 @@ UNICODE_NEWLINE = r"\r\n|[\r\n\x0b\x0c\x1c-\x1e\x85  ]"
 LINE_ENDS = {"newline": NEWLINE, "unicode": UNICODE_NEWLINE}
 
 
+def decoded(content: Column, errors: str = "strict") -> Column:
+    """Bytes as text; ``errors`` says what bytes that are not UTF-8 do: fail or become U+FFFD."""
+    if errors not in ("strict", "replace"):
+        raise ValueError("errors must be 'strict' or 'replace'")
+    if errors == "strict":
+        return F.decode(content, F.lit("UTF-8"))
+    return F.make_valid_utf8(content.cast("string"))
+
+
 def read_versions(
     spark: SparkSession,
     path: str,
@@ -25,20 +34,13 @@ def read_versions(
     ``errors='strict'`` fails on bytes that are not UTF-8, ``'replace'`` puts
     U+FFFD in their place.
     """
-    if errors not in ("strict", "replace"):
-        raise ValueError("errors must be 'strict' or 'replace'")
-    text = (
-        F.decode("content", F.lit("UTF-8"))
-        if errors == "strict"
-        else F.make_valid_utf8(F.col("content").cast("string"))
-    )
     return (
         spark.read.format("binaryFile")
         .load(path)
         .select(
             F.regexp_extract("path", pattern, 1).alias("pair_id"),
             F.regexp_extract("path", pattern, 2).alias("side"),
-            text.alias("text"),
+            decoded(F.col("content"), errors).alias("text"),
         )
         .where("pair_id <> ''")
     )
