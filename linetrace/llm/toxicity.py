@@ -17,7 +17,7 @@ from linetrace.session import checkpointed
 send_by_value(__name__)
 
 SIZES = (4, 5, 6)
-HASH_BITS = 18
+HASH_BITS = 20
 #: Bound of the training sample: so many labelled rows of each class at most.
 CLASS_ROWS = 4000
 #: N-grams the classifier sees: those with the largest scaled log-count ratio.
@@ -26,16 +26,18 @@ SMOOTHING = 1.0
 RIDGE = 0.01
 THRESHOLD = 0.7
 _CHUNK = 1 << 20
+#: ASCII as the n-grams see it: small letters and digits, all else a blank.
+_FOLDED = np.array([ord(chr(c).lower()) if chr(c).isalnum() else 32 for c in range(128)] + [128], np.uint64)
 
 
 def ngram_ids(text: bytes, mark: np.ndarray) -> np.ndarray:
     """Sorted hash buckets of the character n-grams of a whole text, each once.
 
-    A-Z are lower-cased. ``mark`` is a table of false flags, one for each bucket, that is
+    A-Z are lower-cased, ASCII signs and blanks are one sign. ``mark`` is a table of false flags, one for each bucket, that is
     left as it was found. Long texts go through in overlapping chunks.
     """
-    points = np.frombuffer(text.decode("utf-8", "replace").encode("utf-32-le"), "<u4").astype(np.uint64)
-    points[(points >= 65) & (points <= 90)] += np.uint64(32)
+    points = np.frombuffer(text.decode("utf-8", "replace").encode("utf-32-le"), "<u4")
+    points = _FOLDED[np.minimum(points, 128).astype(np.int64)] + np.where(points >= 128, points - 128, 0).astype(np.uint64)
     longest = max(SIZES)
     for start in range(0, len(points), _CHUNK):
         part = points[start : start + _CHUNK + longest - 1]
