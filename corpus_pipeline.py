@@ -29,8 +29,11 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents in their shards and slots; the slot orders a shard."""
-    return shuffled_shards(docs).select("row.*", "shard", "slot")
+    """The documents in their shards and slots; the slot orders a shard.
+
+    Whole texts are sorted, so the unit of sorting has fewer rows than for slim ones.
+    """
+    return shuffled_shards(docs, part_rows=1 << 15).select("row.*", "shard", "slot")
 
 
 STAGES = [
