@@ -1,5 +1,6 @@
 """Every operator against plain loops, on odd rows: nulls, empties, long texts, repeats, clashing names."""
 
+import hashlib
 import os
 import random
 import sys
@@ -351,6 +352,43 @@ def test_line_classes(odd, repeated, none):
     assert line_dedup.line_classes(none).count() == 0
 
 
+LONG = "a line of some length that stands in many texts"
+
+
+@pytest.fixture(scope="module")
+def lined(spark):
+    texts = [f"own line number {k} of one text only\n\n{LONG}\n" + ("x" * (20 + 9 * k)) + f"\n{LONG}" for k in range(50)]
+    texts += [LONG + "s", "", None]
+    rows = [(k, t, 1) for k, t in enumerate(texts)] + [(0, texts[0], 2), (None, texts[1], 3)]
+    return spark.createDataFrame(rows, "doc_id bigint, text string, copies int").repartition(4)
+
+
+@pytest.mark.parametrize("least", [64, 10**9])
+def test_line_members_name_every_holder(lined, none, monkeypatch, least):
+    monkeypatch.setattr(line_dedup, "HOT_LEAST", least)
+    rows = lined.collect()
+    want = Counter(
+        (r.doc_id, n, hashlib.md5(x.encode()).hexdigest())
+        for r in rows for n, x in enumerate((r.text or "").split("\n"), 1) if plain.WHITE_WORD.search(x)
+    )
+    members = line_dedup.line_members(lined).collect()
+    assert Counter((r.doc_id, r.line_no, r.line_md5) for r in members) == want
+    copies = Counter(r.line_md5 for r in members)
+    assert all(r.copies == copies[r.line_md5] for r in members) and max(copies.values()) > 100
+    assert {r.class_doc_id for r in members if r.doc_id == 50} == {0} and line_dedup.line_members(none).count() == 0
+
+
+def test_without_repeated_lines(lined, none):
+    out = line_dedup.without_repeated_lines(lined)
+    assert out.columns == lined.columns and line_dedup.without_repeated_lines(none).count() == 0
+    got = {(r.doc_id, r.copies): r.text for r in out.collect()}
+    assert len(got) == lined.count()
+    whole, again = got.pop((0, 1)), got.pop((0, 2))
+    assert Counter((whole + "\n" + again).split("\n"))[LONG] == 1
+    assert not any(LONG in (t or "") for t in got.values())
+    assert got[50, 1] == got[51, 1] == "" and got[52, 1] is None and got[None, 3] == ""
+
+
 def test_pipeline(spark, odd, items, tmp_path):
     odd.write.parquet(f"{tmp_path}/documents.parquet")
     items.write.parquet(f"{tmp_path}/benchmark.parquet")
