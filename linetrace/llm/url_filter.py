@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,12 +12,10 @@ from linetrace.llm.common import ascii_lower, packed
 from linetrace.session import checkpointed
 
 ANY, END, TAIL = "*", "$", "**"
-#: Levels of a template; what lies deeper is one tail.
+#: Levels every template has; below them only nodes with labels of both kinds grow on, what lies below the others is one tail.
 DEPTH = 6
 #: A segment that looks like a number, date, hash or id is variable wherever it stands.
 VARIABLE = r"^(?:[0-9]+(?:[-_.][0-9]+)*|[0-9a-fA-F-]{16,})(?:\.[A-Za-z]{1,5})?$"
-#: A branch with a smaller share of its parent's pages is variable, so a node has few branches.
-SHARE = 0.02
 #: Branches differ if their rates of blocked labels are so many standard errors apart.
 DISTANCE = 1.96
 #: Weight of the parent's rate in a template's, in labels.
@@ -60,11 +59,19 @@ def matched_rule(host: Column, path: Column, rules: list[UrlRule]) -> Column:
 
 
 def _segments(path: Column) -> Column:
-    """The path's segments by level, the end marked; those beyond ``DEPTH`` are one tail."""
-    parts = F.array_remove(F.split(path, "/"), "")
-    return F.when(F.size(parts) > DEPTH, F.concat(F.slice(parts, 1, DEPTH), F.array(F.lit(TAIL)))).otherwise(
-        F.concat(parts, F.array(F.lit(END)))
-    )
+    """The path's segments by level, the end marked."""
+    return F.concat(F.array_remove(F.split(path, "/"), ""), F.array(F.lit(END)))
+
+
+def _with_tails(rows: DataFrame, nodes: DataFrame, level: int) -> DataFrame:
+    """Rows of nodes without labels of both kinds end in a tail at this level.
+
+    No branch of such a node can differ from its siblings, however deep.
+    """
+    mixed = nodes.where("allow > 0 and block > 0").select("template", F.lit(True).alias("mixed"))
+    grows = F.col("mixed") | (F.size("segments") <= level + 1)
+    tail = F.concat(F.slice("segments", 1, level), F.array(F.lit(TAIL)))
+    return rows.join(mixed, "template", "left").withColumn("segments", F.when(grows, F.col("segments")).otherwise(tail)).drop("mixed")
 
 
 def template_tree(urls: DataFrame) -> DataFrame:
@@ -72,14 +79,15 @@ def template_tree(urls: DataFrame) -> DataFrame:
 
     ``label`` is 1 for urls known to be blocked, 0 for allowed ones, null for unknown.
     The tree of a host grows level by level. Below each node a segment is a wildcard if
-    it looks variable or is rare; the named branches that are left stay apart only if
-    their rate of blocked labels differs from their siblings' by ``DISTANCE``
-    standard errors, the others merge into the wildcard. ``rate`` is the smoothed rate
+    it looks variable; of the others each stays apart, however small, only if
+    its rate of blocked labels differs from its siblings' by ``DISTANCE``
+    standard errors, the rest merge into the wildcard. ``rate`` is the smoothed rate
     of the deepest node: every node adds ``PRIOR`` labels of its parent's rate, and a
     host those of all labels.
 
     Work per level is one count by (node, segment), so a hot host is summed before it is
-    shuffled; only named branches, at most ``1 / SHARE`` a node, are joined back.
+    shuffled; only named branches, which all have labels, are joined back. Rows whose path
+    ends leave the rounds.
     """
     labels = {"allow": F.sum(F.when(F.col("label") == 0, 1).otherwise(0)), "block": F.sum(F.when(F.col("label") == 1, 1).otherwise(0))}
     sums = [v.alias(k) for k, v in labels.items()]
@@ -92,22 +100,20 @@ def template_tree(urls: DataFrame) -> DataFrame:
 
     rows = urls.withColumn("segments", _segments(F.col("path"))).withColumn("template", F.col("host"))
     hosts = rows.groupBy("template").agg(*sums).withColumn("rate", smoothed(F.lit(overall)))
-    rates = checkpointed(hosts.select("template", "rate"))
-    rows = checkpointed(rows.withColumn("level", F.lit(0)))
-    deepest = rows.agg(F.max(F.size("segments"))).first()[0] or 0
-    final = rates
-    for level in range(deepest):
+    nodes = checkpointed(hosts.select("template", "rate", "allow", "block"))
+    rows = checkpointed(rows)
+    ended, level = [], 0
+    while (rows.agg(F.max(F.size("segments"))).first()[0] or 0) > level:
+        if level >= DEPTH:
+            rows = checkpointed(_with_tails(rows, nodes, level))
         segment = F.get("segments", level)
-        here = rows.withColumn("segment", segment).where("segment is not null")
         branches = checkpointed(
-            here.withColumn("segment", F.when(F.col("segment").rlike(VARIABLE), ANY).otherwise(F.col("segment")))
+            rows.withColumn("segment", F.when(segment.rlike(VARIABLE), ANY).otherwise(segment))
             .groupBy("template", "segment")
-            .agg(F.count("*").alias("n"), *sums)
-        )
-        nodes = branches.groupBy("template").agg(
-            F.sum("n").alias("all_n"), F.sum("allow").alias("all_allow"), F.sum("block").alias("all_block")
+            .agg(*sums)
         )
-        seen = branches.join(nodes, "template").where(f"segment <> '{ANY}' and n >= {SHARE} * all_n")
+        totals = branches.groupBy("template").agg(F.sum("allow").alias("all_allow"), F.sum("block").alias("all_block"))
+        seen = branches.join(totals, "template").where(f"segment <> '{ANY}'")
         n, rest = F.col("allow") + F.col("block"), F.col("all_allow") + F.col("all_block") - F.col("allow") - F.col("block")
         pooled = F.try_divide("all_block", F.col("all_allow") + F.col("all_block"))
         error = F.sqrt(pooled * (1 - pooled) * (F.try_divide(F.lit(1), n) + F.try_divide(F.lit(1), rest)))
@@ -116,27 +122,26 @@ def template_tree(urls: DataFrame) -> DataFrame:
         named = checkpointed(
             seen.where(F.col("segment").isin(END, TAIL) | apart).select("template", F.col("segment").alias("own"), F.lit(1).alias("named"))
         )
-        placed = (
+        placed = checkpointed(
             rows.withColumn("own", segment)
             .join(named, ["template", "own"], "left")
             .withColumn("parent", F.col("template"))
-            .withColumn(
-                "template",
-                F.when(F.col("own").isNull(), F.col("template")).otherwise(
-                    F.concat("template", F.lit("/"), F.when(F.col("named") == 1, F.col("own")).otherwise(ANY))
-                ),
-            )
+            .withColumn("template", F.concat("template", F.lit("/"), F.when(F.col("named") == 1, F.col("own")).otherwise(ANY)))
+            .drop("named", "own")
         )
-        placed = checkpointed(placed.drop("named"))
-        grown = placed.where("own is not null").groupBy("template", "parent").agg(*sums)
-        rates = checkpointed(
-            grown.join(rates.select(F.col("template").alias("parent"), F.col("rate").alias("above")), "parent")
+        nodes = checkpointed(
+            placed.groupBy("template", "parent").agg(*sums)
+            .join(nodes.select(F.col("template").alias("parent"), F.col("rate").alias("above")), "parent")
             .withColumn("rate", smoothed(F.col("above")))
-            .select("template", "rate")
+            .select("template", "rate", "allow", "block")
         )
-        final = final.union(rates)
-        rows = placed.drop("own", "parent")
-    return rows.drop("segments", "level").join(final, "template")
+        level += 1
+        ends = placed.where(F.size("segments") <= level).drop("segments", "parent")
+        ended.append(ends.join(nodes.select("template", "rate"), "template"))
+        rows = placed.where(F.size("segments") > level).drop("parent")
+    if not ended:
+        return rows.drop("segments").join(nodes.select("template", "rate"), "template")
+    return reduce(DataFrame.unionByName, ended)
 
 
 def judged_urls(pages: DataFrame, rules: list[UrlRule], url_column: str = "url") -> DataFrame:

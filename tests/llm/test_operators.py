@@ -288,6 +288,20 @@ def test_templates_reject_by_purity(spark):
     assert rate["h/bad/*/$"] > 0.9 and rate["h/good/*/$"] < 0.1
 
 
+def test_small_and_deep_branches_stand_apart(spark):
+    rows = [("h", f"/s{s}/{k}", int(s % 2 == 0) if k < 6 else None) for s in range(60) for k in range(8)]
+    rows += [("g", f"/big/{k}", 0 if k % 2 else None) for k in range(1500)] + [("g", f"/bad/{k}", 1 if k % 2 else None) for k in range(20)]
+    rows += [("d", f"/a/b/c/d/e/f/g/{w}/{k}", (w == "bad") if k % 2 else None) for w in ("bad", "good") for k in range(40)]
+    rows = [(h, p, None if x is None else int(x)) for h, p, x in rows]
+    tree = url_filter.template_tree(spark.createDataFrame(rows, "host string, path string, label int"))
+    found = tree.collect()
+    assert Counter((r.host, r.path, r.label) for r in found) == Counter(rows)
+    rate = {(r.host, r.path): r.rate for r in found}
+    assert all((rate["h", f"/s{s}/7"] > 0.6) == (s % 2 == 0) for s in range(60))
+    assert rate["g", "/bad/0"] > 0.6 > rate["g", "/big/0"]
+    assert rate["d", "/a/b/c/d/e/f/g/bad/0"] > 0.6 > rate["d", "/a/b/c/d/e/f/g/good/0"]
+
+
 def test_permutation():
     import numpy as np
 
