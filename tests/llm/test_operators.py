@@ -244,6 +244,18 @@ def test_personal_data_learns_other_forms(spark):
     assert next(r.out for r in got if r.text[0] == "p" and "part" in r.text) == "part 1234567890 in stock"
 
 
+def test_personal_data_adds_common_other_forms(spark):
+    rng = random.Random(8)
+    number = lambda: f"({rng.randrange(200, 999)}) 555-{rng.randrange(1000, 9999)}"
+    texts = [f"please call phone +1 {number()} today" for _ in range(300)]
+    texts += [f"please call phone 00 1 {number()} today" for _ in range(300)]
+    texts += [f"part {rng.randrange(10**9, 10**10)} in stock" for _ in range(300)]
+    models = pii.fit(spark.createDataFrame([(t,) for t in texts], "text string"))
+    rows = spark.createDataFrame([(texts[300],), (texts[600],)], "text string")
+    got = pii.personal_data(rows, models=models).select("row.text", "base", pii.redacted("row.text", "spans").alias("out"))
+    assert {r.text: r.out for r in got.collect() if not r.base} == {texts[300]: "please call phone [phone] today", texts[600]: texts[600]}
+
+
 def test_toxicity(spark, odd, none):
     rng = random.Random(6)
     words = ["river", "stone", "cloud", "house", "green", "paper"]
