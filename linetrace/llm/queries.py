@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linetrace.llm import (
+    byte_bpe,
     decontaminate,
     line_dedup,
     mixing,
@@ -167,3 +169,15 @@ def op9_line_dedup(spark, sf_dir):
     return found.select(
         "doc_id", "line_no", "line_md5", "first_doc_id", "copies", "n_links", "class_line", "class_doc_id"
     )
+
+
+@query
+def op11_byte_bpe(spark, sf_dir):
+    vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    found = byte_bpe.encoded_documents(table(spark, sf_dir, "documents"), *vocabulary)
+    return found.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(byte_bpe.decoded(F.col("ids"), *vocabulary), 256).alias("decoded_sha256"),
+    )
