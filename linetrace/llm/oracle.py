@@ -87,3 +87,59 @@ dealt AS (SELECT *, CASE WHEN source_size > 0 THEN budget // source_size ELSE 0
 SELECT doc_id, size, source_size, target,
        CAST(epochs * size + greatest(0, least(size, budget - epochs * source_size - before)) AS BIGINT) AS taken
 FROM dealt"""
+
+#: CRC-32 of ASCII text, eight bits at a time by a table made from its polynomial.
+_CRC_TABLE = """SELECT list(list_reduce(list_prepend(i, range(8)), lambda c, k:
+    CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) ORDER BY i) AS crc FROM range(256) t(i)"""
+_GAPS = """(VALUES (0, 0, 0, '', ''), (0, 2, 5, 'I', 'user:\n'), (0, 3, 10, 'II', 'user:\nassistant:\n'),
+    (1, 1, 0, '', ''), (1, 2, 5, 'I', 'user:\n'), (1, 3, 10, 'II', 'user:\nassistant:\n'),
+    (2, 2, 0, '', ''), (2, 3, 5, 'I', 'assistant:\n'), (2, 2, 10, 'II', 'assistant:\nuser:\n'),
+    (3, 3, 0, '', ''), (3, 2, 5, 'I', 'user:\n'), (3, 3, 10, 'II', 'user:\nassistant:\n'))"""
+#: State before, state after, letter of a role that is kept (null: any row), edit, cost, role given.
+_EDITS = """(VALUES (0, 1, 's', 'K', 0, NULL), (0, 2, 'u', 'K', 0, NULL), (1, 2, 'u', 'K', 0, NULL),
+    (3, 2, 'u', 'K', 0, NULL), (2, 3, 'a', 'K', 0, NULL), (0, 2, NULL, 'R', 1, 'user'), (1, 2, NULL, 'R', 1, 'user'),
+    (3, 2, NULL, 'R', 1, 'user'), (2, 3, NULL, 'R', 1, 'assistant'), (0, 0, NULL, 'D', 2, NULL),
+    (1, 1, NULL, 'D', 2, NULL), (2, 2, NULL, 'D', 2, NULL), (3, 3, NULL, 'D', 2, NULL))"""
+_WHITE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+STATEMENTS["op12_conversation_repair"] = f"""
+WITH RECURSIVE keyed AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+       coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations),
+diced AS (SELECT *, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split(k, ''), lambda x: CAST(ascii(x) AS BIGINT))),
+                 lambda c, b: xor(c // 256, crc[xor(c % 256, b) + 1]))) % 20 AS dice FROM keyed, ({_CRC_TABLE})),
+damaged AS (SELECT conv_id, turn, CASE WHEN dice = 4 THEN 'user' ELSE role END AS role,
+                   CASE dice WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+            FROM (SELECT *, unnest(range(CASE WHEN dice = 3 THEN 2 ELSE 1 END)) FROM diced WHERE dice <> 0)),
+places AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS n,
+                  rtrim(text, {_WHITE}) AS seen, left(role, 1) AS letter FROM damaged),
+faults AS (SELECT *, CASE WHEN seen = '' THEN 'blank'
+                          WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY n) > 1 THEN 'duplicate'
+                          WHEN right(seen, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+                  lag(letter) OVER (PARTITION BY conv_id ORDER BY n) || letter AS follows FROM places),
+moves AS (SELECT g.p, e.q, e.letter, e.edit, g.cost + e.cost AS cost, g.edits || e.edit AS edits, g.added, e.role
+          FROM {_GAPS} g(p, m, cost, edits, added), {_EDITS} e(m, q, letter, edit, cost, role) WHERE g.m = e.m),
+walk AS (SELECT DISTINCT conv_id, CAST(0 AS BIGINT) AS n, 0 AS state, 0 AS cost, '' AS audit, '' AS said FROM damaged
+         UNION ALL
+         SELECT conv_id, n, q, least['cost'], least['audit'], least['said'] FROM (
+             SELECT f.conv_id, f.n, m.q, min({{'cost': w.cost + m.cost + CASE WHEN f.fault = 'truncated' AND m.edit <> 'D' THEN 5 ELSE 0 END,
+                    'audit': w.audit || m.edits, 'said': w.said || m.added
+                     || CASE WHEN m.edit = 'D' THEN '' ELSE coalesce(m.role, f.role) || ':' || f.text || chr(10) END}}) AS least
+             FROM walk w JOIN faults f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.n = w.n + 1
+             JOIN moves m ON m.p = w.state AND (m.letter IS NULL OR m.letter = f.letter)
+                          AND (m.edit = 'D' OR f.fault NOT IN ('blank', 'duplicate'))
+             GROUP BY f.conv_id, f.n, m.q)),
+counts AS (SELECT conv_id, max(n) AS n, CAST(coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS BIGINT) AS gaps,
+                  count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+                  count(*) FILTER (fault = 'truncated') AS truncated,
+                  count(*) FILTER (follows NOT IN ('su', 'ua', 'au')) AS illegal FROM faults GROUP BY conv_id),
+ends AS (SELECT w.conv_id, min({{'cost': w.cost + e.cost, 'audit': w.audit || e.edits, 'said': w.said || e.added}}) AS least
+         FROM walk w JOIN counts c ON c.conv_id IS NOT DISTINCT FROM w.conv_id AND c.n = w.n
+         JOIN (VALUES (0, 0, '', ''), (3, 0, '', ''), (2, 5, 'I', 'assistant:\n'), (1, 10, 'II', 'user:\nassistant:\n'))
+              e(state, cost, edits, added) ON e.state = w.state GROUP BY w.conv_id),
+every AS (SELECT DISTINCT conv_id FROM conversations)
+SELECT v.conv_id, coalesce(c.gaps, 0) AS gaps, coalesce(c.blank, 0) AS blank, coalesce(c.duplicate, 0) AS duplicate,
+       coalesce(c.truncated, 0) AS truncated, coalesce(c.illegal, 0) AS illegal, CAST(coalesce(least['cost'], 0) AS BIGINT) AS cost,
+       coalesce(least['audit'], '') AS audit,
+       sha256(coalesce(left(least['said'], greatest(length(least['said']) - 1, 0)), '')) AS repaired_sha256
+FROM every v LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM v.conv_id
+LEFT JOIN ends e ON e.conv_id IS NOT DISTINCT FROM v.conv_id"""

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from linetrace.llm import (
     byte_bpe,
+    conversation_repair,
     decontaminate,
     line_dedup,
     mixing,
@@ -181,3 +182,36 @@ def op11_byte_bpe(spark, sf_dir):
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(byte_bpe.decoded(F.col("ids"), *vocabulary), 256).alias("decoded_sha256"),
     )
+
+
+def damaged_conversations(conversations: DataFrame) -> DataFrame:
+    """Rows that are lost, emptied, cut off, doubled or of the wrong role, as a hash of their place says."""
+    blank = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    dice = F.crc32(F.concat(blank("conv_id"), F.lit(":"), blank("turn")).cast("binary")) % 20
+    rows = conversations.select("conv_id", "turn", blank("role").alias("role"), blank("text").alias("text"), dice.alias("dice"))
+    copies = F.explode(F.expr("sequence(1, if(dice = 3, 2, 1))"))
+    return rows.where("dice <> 0").select(
+        "conv_id",
+        "turn",
+        F.when(F.col("dice") == 4, "user").otherwise(F.col("role")).alias("role"),
+        F.when(F.col("dice") == 1, "")
+        .when(F.col("dice") == 2, F.regexp_replace("text", "[.!?]", ""))
+        .otherwise(F.col("text"))
+        .alias("text"),
+        copies.alias("copy"),
+    )
+
+
+@query
+def op12_conversation_repair(spark, sf_dir):
+    conversations = table(spark, sf_dir, "conversations")
+    blocks = conversation_repair.repaired_blocks(damaged_conversations(conversations))
+    report = conversation_repair.repair_report(blocks)
+    every = conversations.select(F.struct(F.col("conv_id").alias("id")).alias("conv")).distinct()
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return every.join(report, "conv", "left").select(
+        F.col("conv.id").alias("conv_id"),
+        *[F.coalesce(c, F.lit(0).cast("bigint")).alias(c) for c in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("sha", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
