@@ -143,3 +143,19 @@ SELECT v.conv_id, coalesce(c.gaps, 0) AS gaps, coalesce(c.blank, 0) AS blank, co
        sha256(coalesce(left(least['said'], greatest(length(least['said']) - 1, 0)), '')) AS repaired_sha256
 FROM every v LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM v.conv_id
 LEFT JOIN ends e ON e.conv_id IS NOT DISTINCT FROM v.conv_id"""
+
+STATEMENTS["op13_lexical_search"] = f"""
+WITH docs AS (SELECT rid, doc_id, words, CAST(len(words) AS BIGINT) AS n
+              FROM (SELECT row_number() OVER () AS rid, doc_id, {_item_words('text')} AS words FROM documents) WHERE len(words) > 0),
+norm AS (SELECT CAST(count(*) AS BIGINT) AS total, CAST(sum(n) AS BIGINT) AS length FROM docs),
+items AS (SELECT row_number() OVER () AS item, item_id, list_distinct({_item_words('text')}) AS words FROM benchmark),
+wanted AS (SELECT item, item_id, unnest(words) AS term FROM items),
+counts AS (SELECT rid, term, CAST(count(*) AS BIGINT) AS tf FROM (SELECT rid, unnest(words) AS term FROM docs)
+           WHERE term IN (SELECT term FROM wanted) GROUP BY rid, term),
+weights AS (SELECT term, CAST(floor(1000 * ln((2.0::DOUBLE * total + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+            FROM counts, norm GROUP BY term, total),
+scored AS (SELECT item, item_id, doc_id, rid,
+                  CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * total) // length)))) AS BIGINT) AS score
+           FROM wanted JOIN weights USING (term) JOIN counts USING (term) JOIN docs USING (rid), norm GROUP BY ALL)
+SELECT item_id, CAST(row_number() OVER best AS INTEGER) AS rank, doc_id, score FROM scored WHERE score > 0
+WINDOW best AS (PARTITION BY item ORDER BY score DESC, doc_id, rid) QUALIFY row_number() OVER best <= 10"""

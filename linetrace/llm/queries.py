@@ -12,6 +12,7 @@ from linetrace.llm import (
     byte_bpe,
     conversation_repair,
     decontaminate,
+    lexical_search,
     line_dedup,
     mixing,
     pii,
@@ -215,3 +216,8 @@ def op12_conversation_repair(spark, sf_dir):
         F.coalesce("audit", F.lit("")).alias("audit"),
         F.coalesce("sha", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
     )
+
+
+@query
+def op13_lexical_search(spark, sf_dir):
+    return lexical_search.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
