@@ -22,6 +22,8 @@ TOP = 10
 BLOCK_TERMS = 1 << 18
 #: Documents whose bitmaps a task holds at once.
 BLOCK_DOCUMENTS = 10_000
+#: Documents judged at once at first; their number doubles.
+CHUNK = 128
 #: Groups that the candidates of a query are dealt to before they meet in one.
 GROUPS = 64
 
@@ -124,46 +126,55 @@ class Block:
         self.most = {t: int(_impact(self.tf[a:b].max(), least)) for t, (a, b) in self.bounds.items()}
 
     def best(self, wanted: list[tuple[int, int]], top: list, size: int) -> None:
-        """Put the block's best documents for the terms ``(number, weight)`` into the heap ``top`` of ``(score, -place, ...)``.
+        """Put the block's best documents for the terms ``(number, weight)`` into the heap ``top``.
 
         Bitmaps of the matched terms give each document its mask; documents of one mask are
         judged together, masks in descending order of the most they can score, until no
-        further mask can reach the worst of a full heap.
+        further mask can reach the worst of a full heap. Masks of few documents are
+        taken several at a time.
         """
         present = [(t, w) for t, w in wanted if t in self.bounds]
-        if not present:
+        masks = np.zeros((-(-len(present) // 64), len(self.m)), np.uint64)
+        reach = np.zeros(len(self.m), np.int64)
+        for row, (t, w) in enumerate(present):
+            a, b = self.bounds[t]
+            masks[row >> 6, self.doc[a:b]] |= np.uint64(1 << (row & 63))
+            reach[self.doc[a:b]] += w * self.most[t]
+        docs = np.flatnonzero(reach)
+        if not len(docs):
             return
-        bits = np.zeros((len(present), len(self.m)), bool)
-        for row, (t, _) in enumerate(present):
+        first, member = _groups(masks[:, docs])
+        place = np.empty(len(first), np.int64)
+        place[np.argsort(-reach[docs[first]], kind="stable")] = np.arange(len(first))
+        group = place[member]
+        order = np.argsort(group, kind="stable")
+        docs, ends = docs[order], np.cumsum(np.bincount(group))
+        at, step = 0, CHUNK
+        while at < len(docs) and (len(top) < size or reach[docs[at]] >= top[0][0]):
+            end = int(ends[np.searchsorted(ends, min(at + step, len(docs)))])
+            self._judge(docs[at:end], present, top, size)
+            at, step = end, 2 * step
+
+    def _judge(self, docs: np.ndarray, present: list[tuple[int, int]], top: list, size: int) -> None:
+        score = np.zeros(len(docs), np.int64)
+        for t, w in present:
             a, b = self.bounds[t]
-            bits[row, self.doc[a:b]] = True
-        masks = np.packbits(bits, axis=0).T
-        kinds, member = _groups(masks)
-        weights = np.array([w * self.most[t] for t, w in present], np.int64)
-        bound = bits[:, kinds].T.astype(np.int64) @ weights
-        order = np.argsort(member, kind="stable")
-        edges = np.searchsorted(member[order], np.arange(len(kinds) + 1))
-        for kind in np.argsort(-bound, kind="stable").tolist():
-            if bound[kind] <= 0 or len(top) == size and bound[kind] < top[0][0]:
-                break
-            docs = order[edges[kind] : edges[kind + 1]]
-            score = np.zeros(len(docs), np.int64)
-            for row in np.flatnonzero(bits[:, kinds[kind]]).tolist():
-                t, w = present[row]
-                a, b = self.bounds[t]
-                score += w * _impact(self.tf[a + np.searchsorted(self.doc[a:b], docs)], self.m[docs])
-            for d, s in zip(docs.tolist(), score.tolist()):
-                _offer(top, size, s, self.ids[d])
+            place = np.minimum(np.searchsorted(self.doc[a:b], docs), b - a - 1) + a
+            hit = np.flatnonzero(self.doc[place] == docs)
+            score[hit] += w * _impact(self.tf[place[hit]], self.m[docs[hit]])
+        worst = np.partition(score, -size)[-size] if len(score) > size else 0
+        for k in np.flatnonzero(score >= worst).tolist():
+            _offer(top, size, int(score[k]), self.ids[docs[k]])
 
 
 def _groups(masks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A document of each different mask, and the number of every document's mask."""
-    padded = np.zeros((len(masks), -(-masks.shape[1] // 8) * 8), np.uint8)
-    padded[:, : masks.shape[1]] = masks
-    words = padded.view(np.uint64)
-    _, first, member = np.unique(words[:, 0], return_index=True, return_inverse=True)
-    for column in range(1, words.shape[1]):
-        _, inside = np.unique(words[:, column], return_inverse=True)
+    """A document of each different mask, and the number of every document's mask.
+
+    Masks are columns of 64-bit words, refined word by word.
+    """
+    _, first, member = np.unique(masks[0], return_index=True, return_inverse=True)
+    for words in masks[1:]:
+        _, inside = np.unique(words, return_inverse=True)
         _, first, member = np.unique(member * (inside.max() + 1) + inside, return_index=True, return_inverse=True)
     return first, member
 
