@@ -39,8 +39,10 @@ def halves(token: str, ranks: dict[str, int]) -> tuple[str, str] | None:
     while len(pieces) > 2:
         joined = [ranks.get(x + y) for x, y in zip(pieces, pieces[1:])]
         least = min((r for r in joined if r is not None), default=None)
-        if least is None or least >= ranks[token]:
+        if least is None:
             return None
+        if least >= ranks[token]:
+            raise ValueError("a token ranks before its parts: no list of merges")
         at = joined.index(least)
         pieces[at : at + 2] = [pieces[at] + pieces[at + 1]]
     return pieces[0], pieces[1]
@@ -71,8 +73,6 @@ class Vocabulary:
                 if (two := halves(token, ranks)) is None:
                     continue
                 left, right = ranks[two[0]], ranks[two[1]]
-                if max(self.born[left], self.born[right]) >= rank:
-                    raise ValueError("a token ranks before its parts: no list of merges")
                 self.halves[rank], self.merged[left, right], self.born[rank] = (left, right), rank, rank
             reverse.add_word(token[::-1], rank)
         for rank in [*self.halves, *(ranks[chr(b)] for b in range(256))]:

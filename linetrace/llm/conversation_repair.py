@@ -33,6 +33,14 @@ KEEP = {
     ("s", START): SYSTEM, ("u", START): USER, ("u", SYSTEM): USER, ("u", ASSISTANT): USER, ("a", USER): ASSISTANT,
 }
 ENDS = (START, ASSISTANT)
+#: What it costs at most to go on from the first state as one could from the second: turns to insert,
+#: a system turn to delete, and two turns to insert at the end after the system.
+BRIDGE = {
+    (START, SYSTEM): 0, (START, USER): INSERT, (START, ASSISTANT): 0,
+    (SYSTEM, START): DELETE + 2 * INSERT, (SYSTEM, USER): INSERT, (SYSTEM, ASSISTANT): 2 * INSERT,
+    (USER, START): INSERT + DELETE, (USER, SYSTEM): INSERT, (USER, ASSISTANT): INSERT,
+    (ASSISTANT, START): DELETE, (ASSISTANT, SYSTEM): 0, (ASSISTANT, USER): INSERT,
+}
 #: A row that must go, and the end of a conversation.
 GONE, END = "-", "$"
 WHITE_CHARS = " \t\n\x0b\f\r"
@@ -90,10 +98,14 @@ class Survivors:
     ancestor that all survivors share is decided: ``feed`` returns it and forgets
     it, so only undecided edits are held. Ways of equal cost are told apart by their
     complete undecided edits; the decided ones are the same for all.
+
+    With ``prune``, a survivor is dropped that costs more than another one and its
+    ``BRIDGE``: whatever follows, it is no part of a cheapest way. Without, the way that deletes
+    all rows would keep its own branch to the end.
     """
 
-    def __init__(self, entry: int = START):
-        self.root, self.rows = _Node(), 0
+    def __init__(self, entry: int = START, prune: bool = True):
+        self.root, self.rows, self.prune = _Node(), 0, prune
         self.alive = {entry: (0, self.root)}
 
     def undecided(self, node: _Node) -> list[_Node]:
@@ -128,6 +140,11 @@ class Survivors:
                 or total == other[0] and self._text(node, edits) < self._text(other[1], other[2])
             ):
                 chosen[after] = total, node, edits, roles
+        if self.prune:
+            totals = [(state, way[0]) for state, way in chosen.items()]
+            for p, cost in totals:
+                if any(q != p and other + BRIDGE[q, p] < cost for q, other in totals):
+                    del chosen[p]
         old, self.alive = self.alive, {}
         for after, (total, node, edits, roles) in chosen.items():
             child = _Node(node, self.rows, edits, roles)
@@ -170,7 +187,7 @@ def transfer(symbols: str) -> tuple[int, ...]:
     """
     costs, texts = [-1] * 16, [None] * 16
     for entry in NEXT:
-        survivors, text = Survivors(entry), []
+        survivors, text = Survivors(entry, prune=False), []
         for symbol in symbols:
             text += [n.edits for n in survivors.feed(symbol)]
         for state, (cost, node) in survivors.alive.items():
@@ -354,7 +371,7 @@ def repaired_blocks(
     A row's fault is the first of ``blank`` (no character beyond white space), ``duplicate`` (role and
     text occur earlier in the conversation; both must go) and ``truncated`` (does not end in ``. ! ?``).
     Rows are ordered by turn, null first, then by role and text; equal rows are
-    interchangeable. Null roles and texts count as one blank. A null id is a
+    interchangeable. Null roles and texts count as one blank; an empty role may not stay. A null id is a
     conversation like any other. Columns beyond the four are not looked at. No rows
     give no blocks.
     """

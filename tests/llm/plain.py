@@ -145,3 +145,94 @@ def edits(a, b):
         for j, y in enumerate(b, 1):
             last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
     return row[-1]
+
+
+def repaired(rows):
+    """``{conv: (gaps, blank, duplicate, truncated, illegal, cost, audit, sha)}`` of ``[(conv, turn, role, text)]``.
+
+    Tries all edits at every row and keeps whole texts of edits for each state.
+    """
+    conversations = {}
+    for conv, turn, role, text in rows:
+        conversations.setdefault(conv, []).append((turn is not None, turn, " " if role is None else role, " " if text is None else text))
+    out = {}
+    for conv, listed in conversations.items():
+        listed.sort(key=lambda r: (r[0], r[1] or 0, r[2], r[3]))
+        seen, faults = set(), []
+        for _, _, role, text in listed:
+            end = text.rstrip(" \t\n\x0b\f\r")
+            fault = "blank" if not end else "duplicate" if (role, text) in seen else "truncated" if end[-1] not in ".!?" else ""
+            faults.append(fault)
+            seen.add((role, text))
+
+        def legal(said):
+            return re.fullmatch(r"s?(ua)*u?", said) is not None
+
+        ways = {"": (0, "", ())}  # the last two letters said, by which all is decided
+        for (_, _, role, text), fault in zip(listed, faults):
+            more = {}
+
+            def offer(said, way):
+                key = said[-1:]
+                if key not in more or way < more[key]:
+                    more[key] = way
+
+            for said, (cost, audit, kept) in ways.items():
+                for gap in ("", "u", "a", "ua", "au"):
+                    now = said + gap
+                    if not (legal(now) or legal("u" + now) if said == "a" else legal(now)):
+                        continue
+                    names = tuple(({"u": "user", "a": "assistant"}[g], "") for g in gap)
+                    way = cost + 5 * len(gap), audit + "I" * len(gap), kept + names
+                    offer(now, (way[0] + 2, way[1] + "D", way[2]))
+                    if fault in ("blank", "duplicate"):
+                        continue
+                    late = 5 if fault else 0
+                    for edit, name, price in (("K", role, 0), ("R", "user", 1), ("R", "assistant", 1)):
+                        then = now[-1:] + name[:1] if now else name[:1]
+                        if name and then in ("s", "u", "su", "ua", "au"):
+                            offer(then, (way[0] + late + price, way[1] + edit, way[2] + ((name, text),)))
+            ways = more
+        ends = []
+        for said, (cost, audit, kept) in ways.items():
+            if said in ("", "a"):
+                ends.append((cost, audit, kept))
+            elif said == "u":
+                ends.append((cost + 5, audit + "I", (*kept, ("assistant", ""))))
+            else:
+                ends.append((cost + 10, audit + "II", (*kept, ("user", ""), ("assistant", ""))))
+        cost, audit, kept = min(ends)
+        turns = {t for _, t, _, _ in listed if t is not None}
+        letters = [r[2][:1] for r in listed]
+        out[conv] = (
+            max(turns) - min(turns) + 1 - len(turns) if turns else 0,
+            *(faults.count(f) for f in ("blank", "duplicate", "truncated")),
+            sum(x + y not in ("su", "ua", "au") for x, y in zip(letters, letters[1:])),
+            cost, audit, hashlib.sha256("\n".join(f"{r}:{t}" for r, t in kept).encode()).hexdigest(),
+        )
+    return out
+
+
+def ranked(documents, items, size=10):
+    """``[(item_id, rank, doc_id, score)]`` by scoring every document for every item."""
+    import math
+
+    cut = lambda text: re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", (text or "").translate(LOWERED))
+    held = [(d, Counter(cut(t))) for d, t in documents]
+    held = [(d, c, sum(c.values())) for d, c in held if c]
+    total, length = len(held), sum(n for _, _, n in held)
+    df = Counter(t for _, c, _ in held for t in c)
+    out = []
+    for item, text in items:
+        found = []
+        for doc, counts, n in held:
+            m = 10 + (90 * n * total) // length
+            score = 0
+            for t in set(cut(text)):
+                if tf := counts[t]:
+                    score += math.floor(1000 * math.log((2 * total + 2) / (2 * df[t] + 1))) * (10**9 * tf // (1000 * tf + 8 * m))
+            if score > 0:
+                found.append((-score, doc is None, doc or 0))
+        for rank, (score, none, doc) in enumerate(sorted(found)[:size], 1):
+            out.append((item, rank, None if none else doc, -score))
+    return out
