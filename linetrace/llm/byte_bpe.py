@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import base64
+import sys
+from array import array
 from collections.abc import Iterator
 
 import ahocorasick
@@ -21,6 +23,8 @@ send_by_value(__name__)
 IDS = "<u4"
 #: Pairs and words a worker remembers before it starts anew; longer words are not remembered.
 PAIRS, WORDS, WORD_BYTES = 1 << 20, 1 << 18, 48
+#: Characters of a long text.
+LONG = 1 << 20
 
 
 def read_ranks(path: str) -> dict[str, int]:
@@ -115,29 +119,32 @@ class Vocabulary:
 
     def encode(self, word: str) -> list[int]:
         """Token ids of one word, given as Latin-1 characters for its bytes."""
+        if not word:
+            return []
         if (alone := self.ranks.get(word)) is not None:
             return [alone]
-        longest = [0] * len(word)
-        seen, last = -1, len(word) - 1
-        for end, token in self.reverse.iter(word[::-1]):
-            if end != seen:  # the first match of an end is its longest
-                longest[last - end], seen = token, end
-        tokens: list[int] = []
-        closed = bytearray(len(word) + 1)
-        at, size, shorter, fits = 0, self.size, self.shorter, self.fits
-        token = longest[0] if word else None
-        while at < len(word):
-            while token is not None and (closed[at + size[token]] or tokens and not fits(tokens[-1], token)):
+        # The first match that ends at a place is its longest, so it is put in last.
+        longest = dict(reversed(list(self.reverse.iter(word[::-1]))))
+        size, shorter, known, fits = self.size, self.shorter, self.pairs.get, self.fits
+        last, at, left, tokens, closed = len(word) - 1, 0, None, [], set()
+        token = longest[last]
+        while True:
+            while token is not None:
+                if not closed or at + size[token] not in closed:
+                    if left is None or (known((left, token)) or fits(left, token)):
+                        break
                 token = shorter[token]
             if token is None:
-                closed[at] = 1
+                closed.add(at)
                 token = tokens.pop()
                 at -= size[token]
             else:
                 tokens.append(token)
                 at += size[token]
-                token = longest[at] if at < len(word) else None
-        return tokens
+                if at > last:
+                    return tokens
+                token = longest[last - at]
+            left = tokens[-1] if tokens else None
 
 
 class Encoder:
@@ -153,7 +160,10 @@ class Encoder:
 
     def _word(self, word: str) -> bytes:
         data = word.encode()
-        ids = np.array(self.vocabulary.encode(data.decode("latin-1")), IDS).tobytes()
+        ids = array("I", self.vocabulary.encode(data.decode("latin-1")))
+        if sys.byteorder == "big":
+            ids.byteswap()
+        ids = ids.tobytes()
         if len(data) <= WORD_BYTES:
             if len(self.memory) >= WORDS:
                 self.memory.clear()
@@ -162,7 +172,9 @@ class Encoder:
 
     def encode(self, text: str) -> bytes:
         known = self.memory.get
-        return b"".join([known(w) or self._word(w) for w in map(regex.Match.group, self.words.finditer(text))])
+        # The words of a long text are not held all at once.
+        words = self.words.findall(text) if len(text) < LONG else map(regex.Match.group, self.words.finditer(text))
+        return b"".join([known(w) or self._word(w) for w in words])
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.bytes.__getitem__, np.frombuffer(ids, IDS).tolist()))
