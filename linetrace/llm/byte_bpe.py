@@ -6,6 +6,7 @@ import base64
 import sys
 from array import array
 from collections.abc import Iterator
+from types import ModuleType
 
 import ahocorasick
 import numpy as np
@@ -148,14 +149,11 @@ class Vocabulary:
 
 
 class Encoder:
-    """Texts to ids and back, with the words of a pattern encoded one by one."""
+    """Texts to ids, with the words of a pattern encoded one by one."""
 
     def __init__(self, path: str, pattern: str):
         self.vocabulary = Vocabulary(read_ranks(path))
         self.words = regex.compile(pattern)
-        self.bytes = [b""] * (max(self.vocabulary.text) + 1)
-        for rank, token in self.vocabulary.text.items():
-            self.bytes[rank] = token.encode("latin-1")
         self.memory: dict[str, bytes] = {}
 
     def _word(self, word: str) -> bytes:
@@ -176,26 +174,36 @@ class Encoder:
         words = self.words.findall(text) if len(text) < LONG else map(regex.Match.group, self.words.finditer(text))
         return b"".join([known(w) or self._word(w) for w in words])
 
+
+class Decoder:
+    """Ids to bytes."""
+
+    def __init__(self, path: str):
+        self.bytes = {rank: token.encode("latin-1") for token, rank in read_ranks(path).items()}
+
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.bytes.__getitem__, np.frombuffer(ids, IDS).tolist()))
 
 
-_ENCODERS: dict[tuple[str, str], Encoder] = {}
+def _kept(kind: type, *arguments: str):
+    """One object for each Python worker and its arguments, kept from task to task.
 
-
-def _encoder(path: str, pattern: str) -> Encoder:
-    """One for each Python worker; reading the vocabulary takes about a second."""
-    if (path, pattern) not in _ENCODERS:
-        _ENCODERS[path, pattern] = Encoder(path, pattern)
-    return _ENCODERS[path, pattern]
+    Functions travel by value, so that globals of this module are new in every task; what
+    a worker keeps is a module of its own.
+    """
+    store = sys.modules.setdefault("byte_bpe_of_this_worker", ModuleType("byte_bpe_of_this_worker")).__dict__
+    name = " ".join((kind.__name__, *arguments))
+    if name not in store:
+        store[name] = kind(*arguments)
+    return store[name]
 
 
-def decoded(ids: Column, path: str, pattern: str) -> Column:
+def decoded(ids: Column, path: str) -> Column:
     """The bytes that the ids stand for; null for null. An id outside the vocabulary is an error."""
 
     @F.arrow_udf("binary")
     def data(rows: pa.Array) -> pa.Array:
-        decode = _encoder(path, pattern).decode
+        decode = _kept(Decoder, path).decode
         return pa.array([None if r is None else decode(r) for r in (x.as_py() for x in rows)], pa.binary())
 
     return data(ids)
@@ -213,7 +221,7 @@ def encoded_documents(
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(path, pattern)
+        encoder = _kept(Encoder, path, pattern)
         for batch in batches:
             ids = pa.array([encoder.encode(text.as_py()) for text in batch.column(1)], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0), ids], ["doc_id", "ids"])

@@ -181,7 +181,7 @@ def op11_byte_bpe(spark, sf_dir):
         "doc_id",
         (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2(byte_bpe.decoded(F.col("ids"), *vocabulary), 256).alias("decoded_sha256"),
+        F.sha2(byte_bpe.decoded(F.col("ids"), vocabulary[0]), 256).alias("decoded_sha256"),
     )
 
 
