@@ -9,10 +9,10 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from linetrace.llm.common import send_by_value, whole
+from linetrace.llm.common import packed, send_by_value, whole
 from linetrace.llm.components import connected_components
 from linetrace.session import checkpointed
 
@@ -178,42 +178,59 @@ def near_duplicates(
     rows. Rows with a null id are linked too; a component of such rows alone
     has a null component. Other columns are not looked at; an empty table gives none.
     """
-    rows = checkpointed(
-        documents.select(F.col(id_column).alias("doc_id"), fingerprint(F.col(text_column), shingle).alias("print"))
-    )
-    classes = checkpointed(rows.groupBy("print").agg(F.min("doc_id").alias("least")))
-    roots = connected_components(linked_prints(classes, limit)).withColumnRenamed("node", "print")
-    member = classes.join(roots, "print", "left").withColumn("root", F.coalesce("root", "print"))
+    rows = _fingerprints(documents, id_column, text_column, shingle)
+    member = _rooted(rows, limit)
     least = member.groupBy("root").agg(F.min("least").alias("component_id"))
     placed = member.join(least, "root").select("print", "component_id")
     return rows.join(placed, "print").select("doc_id", "print", "component_id")
 
 
+def _fingerprints(documents: DataFrame, id_column: str, text_column: str, shingle: int) -> DataFrame:
+    return checkpointed(
+        documents.select(F.col(f"`{id_column}`").alias("doc_id"), fingerprint(F.col(f"`{text_column}`"), shingle).alias("print"))
+    )
+
+
+def _rooted(rows: DataFrame, limit: int) -> DataFrame:
+    """``(print, least, named, root)`` of each fingerprint: its least id, whether it has one, its component's name."""
+    classes = checkpointed(rows.groupBy("print").agg(F.min("doc_id").alias("least")))
+    roots = connected_components(linked_prints(classes, limit)).withColumnRenamed("node", "print")
+    return classes.join(roots, "print", "left").select(
+        "print", "least", F.isnotnull("least").alias("named"), F.coalesce("root", "print").alias("root")
+    )
+
+
 def without_near_duplicates(
     documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", shingle: int = 3, limit: int = 2
 ) -> DataFrame:
-    """The documents with one row of each component left: that of the smallest id.
+    """The documents with one row of each component left, columns as they are.
 
-    Columns stay as they are. Of rows that repeat an id one stays. A component whose
-    rows all have null ids keeps one of them.
+    The row with the smallest id stays, null last. Where that id has several rows in the component, the
+    smallest fingerprint decides, then the least MD5 of the text; rows that are equal in
+    these are interchangeable in text, and one of them stays. Rows with one id in different
+    components are judged apart, so no text is lost without a near copy that stays. Null and
+    word-less texts are copies of each other. An empty table stays empty.
     """
-    found = checkpointed(near_duplicates(documents, id_column, text_column, shingle, limit))
-    ids = F.col(f"`{id_column}`")
-    gone = checkpointed(found.where("doc_id <> component_id").select(F.col("doc_id").alias("gone_id")).distinct())
-    twice = checkpointed(
-        found.groupBy("doc_id").count().where("doc_id is not null and count > 1").select(F.col("doc_id").alias("twice_id"))
+    rows = _fingerprints(documents, id_column, text_column, shingle)
+    first = F.min(F.struct((~F.col("named")).alias("nameless"), F.col("least").alias("doc_id"), "print")).alias("first")
+    chosen = checkpointed(_rooted(rows, limit).groupBy("root").agg(first).select("first.doc_id", "first.print"))
+    several = checkpointed(rows.groupBy("doc_id").count().where("doc_id is null or count > 1").select("doc_id"))
+    same = lambda x, y: F.col(f"{x}.doc_id").eqNullSafe(F.col(f"{y}.doc_id"))
+    gone = rows.alias("r").join(
+        chosen.alias("c"), same("r", "c") & (F.col("r.print") == F.col("c.print")), "left_anti"
     )
-    kept = documents.where(ids.isNotNull()).join(gone, ids == F.col("gone_id"), "left_anti")
-    if not twice.isEmpty():
-        repeated = kept.join(twice, ids == F.col("twice_id"), "left_semi").dropDuplicates([id_column])
-        kept = kept.join(twice, ids == F.col("twice_id"), "left_anti").unionByName(repeated)
-    lone = checkpointed(found.where("component_id is null").select("print").distinct())
-    if not lone.isEmpty():
-        roots = connected_components(linked_prints(lone, limit))
-        groups = lone.join(roots, F.col("print") == F.col("node"), "left").select(
-            F.col("print").alias("lone_print"), F.coalesce("root", "print").alias("lone_root")
-        )
-        unnamed = documents.where(ids.isNull()).withColumn("lone_print", fingerprint(F.col(text_column), shingle))
-        unnamed = unnamed.join(groups, "lone_print").dropDuplicates(["lone_root"])
-        kept = kept.unionByName(unnamed.select(*[F.col(f"`{c}`") for c in documents.columns]))
-    return kept
+    ids = F.col(f"`{id_column}`")
+    # Most ids stand on one row: what goes is named by its id, without another look at the text.
+    gone = checkpointed(gone.where("doc_id is not null").select(F.col("doc_id").alias("gone_id")).distinct())
+    named = documents.where(ids.isNotNull())
+    if several.isEmpty():
+        return named.join(gone, ids == F.col("gone_id"), "left_anti")
+    listed = several.where("doc_id is not null").select(F.col("doc_id").alias("several_id"))
+    kept = named.join(gone, ids == F.col("gone_id"), "left_anti").join(listed, ids == F.col("several_id"), "left_anti")
+    text = F.col(f"`{text_column}`")
+    again = named.join(listed, ids == F.col("several_id"), "left_semi").unionByName(documents.where(ids.isNull()))
+    again = packed(again, doc_id=ids, print=fingerprint(text, shingle), name=F.md5(whole(text)))
+    best = Window.partitionBy("r.doc_id", "r.print").orderBy("r.name")
+    again = again.alias("r").join(chosen.alias("c"), same("r", "c") & (F.col("r.print") == F.col("c.print")))
+    again = again.select("r.row", F.row_number().over(best).alias("place")).where("place = 1")
+    return kept.unionByName(again.select("row.*"))

@@ -14,6 +14,7 @@ sys.path.insert(0, os.path.dirname(__file__))
 import plain  # noqa: E402
 
 import corpus_pipeline  # noqa: E402
+from linetrace.session import checkpointed  # noqa: E402
 from linetrace.llm import (  # noqa: E402
     components,
     decontaminate,
@@ -130,6 +131,23 @@ def test_near_duplicates_keep_one(repeated, none):
     assert simhash.without_near_duplicates(none).columns == none.columns
 
 
+def test_near_duplicates_lose_no_text(spark):
+    a, b = "the first text of three words and more", "another one that is not near it at all"
+    schema = "doc_id bigint, text string, `print` int, `a.b` string"
+
+    def kept(*rows):
+        frame = spark.createDataFrame([(d, t, 0, "x") for d, t in rows], schema).repartition(3)
+        out = simhash.without_near_duplicates(frame)
+        assert out.columns == frame.columns
+        return sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
+
+    assert kept((1, a), (2, a), (2, b)) == [(1, a), (2, b)]
+    assert kept((7, a), (7, b)) == [(7, b), (7, a)]
+    assert kept((7, b), (7, b), (7, a), (9, a), (None, b)) == [(7, b), (7, a)]
+    assert kept((None, a), (None, a), (None, b), (3, None), (4, "")) == sorted([(None, a), (None, b), (3, None)], key=str)
+    assert simhash.near_duplicates(spark.createDataFrame([(1, a)], "`x.id` bigint, `x.text` string"), "x.id", "x.text").count() == 1
+
+
 def odd_texts_with_ids():
     return [(r[0], r[1]) for r in odd_rows()]
 
@@ -422,6 +440,23 @@ def test_pipeline(spark, odd, items, tmp_path):
     want &= {c for _, _, c in plain.simhash_components([x for x in odd_texts_with_ids() if x[0] in want])}
     bench = [(r.item_id, r.text) for r in items.collect()]
     want = {w[0] for w in plain.contamination([x for x in odd_texts_with_ids() if x[0] in want], bench) if not w[-1]}
+    docs = odd
+    for _, stage in corpus_pipeline.STAGES[:3]:
+        docs = checkpointed(stage(spark, docs, str(tmp_path)))
+    assert docs.columns == odd.columns and sorted(r.doc_id for r in docs.collect()) == sorted(want)
+    sizes = {d: len(plain.WHITE_WORD.findall(t)) for d, t in odd_texts_with_ids() if d in want}
     out = corpus_pipeline.run(spark, str(tmp_path)).collect()
-    assert {r.doc_id for r in out} <= want and len(out) > 0
+    assert {r.doc_id for r in out} <= want
+    words = Counter()
+    for r in out:
+        words[r.doc_id] += len(plain.WHITE_WORD.findall(r.text))
+    by_source = Counter()
+    for d, n in sizes.items():
+        by_source[odd_rows()[d][3]] += n
+    for source, target in plain.mix_targets(by_source).items():
+        assert abs(sum(n for d, n in words.items() if odd_rows()[d][3] == source) - target) <= 0.5
+    assert all(words[d] <= 2 * sizes[d] for d in words)
+    assert sorted((r.shard, r.slot) for r in out) == [
+        (s, k) for s, n in sorted(Counter(r.shard for r in out).items()) for k in range(n)
+    ]
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality", "near_duplicates", "benchmark", "mixing", "sharding"]
