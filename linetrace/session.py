@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -69,3 +69,20 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     """
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return df.repartition(parts, *keys)
+
+
+def numbered(df: DataFrame, name: str, *order: str, start: int = 0) -> DataFrame:
+    """Add the place of every row in the order of the columns, without gaps.
+
+    Range parts are numbered each for itself; prefix sums of their counts, one row a
+    part, give where each begins. Rows that are equal in the order get any of their places.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = checkpointed(df.repartitionByRange(parts, *order).withColumn("part_of_order", F.spark_partition_id()))
+    sizes = ranged.groupBy("part_of_order").count()
+    before = Window.orderBy("part_of_order").rowsBetween(Window.unboundedPreceding, -1)
+    begins = sizes.select("part_of_order", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("begin_of_part"))
+    inside = F.row_number().over(Window.partitionBy("part_of_order").orderBy(*order))
+    placed = ranged.withColumn("inside_part", inside).join(begins, "part_of_order")
+    number = (F.col("begin_of_part") + F.col("inside_part") - 1 + start).cast("bigint")
+    return placed.withColumn(name, number).drop("part_of_order", "inside_part", "begin_of_part")

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from linetrace.session import checkpointed
+from linetrace.session import checkpointed, numbered
 
 # Rows of one group are ordered inside buckets of this many consecutive numbers,
 # so a group holding a third of the table is still spread over many tasks.
@@ -61,18 +62,37 @@ def _versions(chained: DataFrame, own: F.Column, next_: F.Column) -> DataFrame:
     )
 
 
+def _one_text_each(documents: DataFrame) -> DataFrame:
+    """``doc_id, text``: of an id on several rows the text that is first in order; no null."""
+    texts = documents.where("text is not null and doc_id is not null").select("doc_id", "text")
+    several = checkpointed(texts.groupBy("doc_id").count().where("count > 1").select("doc_id"))
+    if several.isEmpty():
+        return texts
+    first = texts.join(several, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
+    return texts.join(several, "doc_id", "left_anti").unionByName(first)
+
+
 def pair_votes(documents: DataFrame) -> DataFrame:
     """``doc_id, old_id, votes``: lines whose last earlier holder is document ``old_id``.
 
-    Every non-blank line of a document counts once, compared as a whole text.
+    Every non-blank line of a document counts once, compared as a whole text. Documents are
+    ordered by id; ids that are no whole numbers get one, their place in the order.
+    Of an id on several rows the first text counts, so no document precedes itself.
     """
-    held = (
-        documents.where("text is not null and doc_id is not null")
-        .select("doc_id", F.explode(F.array_distinct(F.split("text", "\n"))).alias("line"))
-        .where(F.col("line").rlike(r"[^\x09-\x0D\x20]"))
+    texts = _one_text_each(documents)
+    whole = isinstance(texts.schema["doc_id"].dataType, T.IntegralType)
+    held = texts.select("doc_id", F.explode(F.array_distinct(F.split("text", "\n"))).alias("line")).where(
+        F.col("line").rlike(r"[^\x09-\x0D\x20]")
     )
-    chained = chain_neighbours(held, ["line"], "doc_id").where("previous is not null")
-    return chained.groupBy("doc_id", F.col("previous").alias("old_id")).agg(F.count("*").alias("votes"))
+    if whole:
+        chained = chain_neighbours(held, ["line"], "doc_id").where("previous is not null")
+        return chained.groupBy("doc_id", F.col("previous").alias("old_id")).agg(F.count("*").alias("votes"))
+    names = checkpointed(numbered(texts.select("doc_id"), "place", "doc_id"))
+    placed = held.join(names, "doc_id").select("place", "line")
+    chained = chain_neighbours(placed, ["line"], "place").where("previous is not null")
+    votes = chained.groupBy("place", "previous").agg(F.count("*").alias("votes"))
+    old = names.select(F.col("place").alias("previous"), F.col("doc_id").alias("old_id"))
+    return votes.join(names, "place").join(old, "previous").select("doc_id", "old_id", "votes")
 
 
 def version_pairs(documents: DataFrame) -> DataFrame:
@@ -84,10 +104,11 @@ def version_pairs(documents: DataFrame) -> DataFrame:
 def document_versions(documents: DataFrame) -> DataFrame:
     """New version = a document, old version = the earlier one it shares most lines with.
 
-    A document without an earlier holder of one of its lines is no new version.
+    A document without an earlier holder of one of its lines is no new version. Ids may be of
+    any ordered type; of an id on several rows the text that is first in order counts.
     """
     pairs = checkpointed(version_pairs(documents))
-    texts = documents.where("text is not null").select("doc_id", "text")
+    texts = _one_text_each(documents)
     name = F.col("pair.doc_id").cast("string").alias("pair_id")
     new = texts.alias("d").join(pairs.alias("pair"), F.col("d.doc_id") == F.col("pair.doc_id"))
     old = texts.alias("d").join(pairs.alias("pair"), F.col("d.doc_id") == F.col("pair.old_id"))

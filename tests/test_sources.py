@@ -9,6 +9,7 @@ from linetrace.sources.lines import (
     split_lines,
     versions_of_pairs,
 )
+from linetrace.session import numbered
 
 
 @pytest.mark.parametrize("mode", ["newline", "unicode"])
@@ -75,3 +76,21 @@ def test_document_versions(spark):
     text = dict(rows)
     # 4 shares a line with 3 and one with 2: the later wins; 7 has its only line last in 4.
     assert got == {(str(n), s): text[d] for n, o in ((3, 1), (4, 3), (7, 4)) for s, d in (("new", n), ("old", o))}
+
+
+def test_versions_of_repeated_and_text_ids(spark):
+    rows = [(1, "a\nb"), (1, "b\nc"), (2, "a\nb\nx"), (3, "x\ny"), (None, "a"), (4, None)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = {tuple(r) for r in document_versions(frame).collect()}
+    want = {("2", "new", "a\nb\nx"), ("2", "old", "a\nb"), ("3", "new", "x\ny"), ("3", "old", "a\nb\nx")}
+    assert got == want
+    named = frame.selectExpr("concat('d', doc_id) as doc_id", "text")
+    assert {tuple(r) for r in document_versions(named).collect()} == {("d" + p, s, t) for p, s, t in want}
+
+
+def test_numbers_follow_the_order(spark):
+    rows = [(k * 37 % 101, k % 3) for k in range(300)]
+    frame = spark.createDataFrame(rows, "a int, b int").repartition(5)
+    got = [(r.a, r.b) for r in numbered(frame, "n", "a", "b").orderBy("n").collect()]
+    assert got == sorted(rows)
+    assert numbered(frame.where("a < 0"), "n", "a").count() == 0
