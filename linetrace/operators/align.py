@@ -3,33 +3,36 @@
 In every region (at first a whole pair) the longest run of equal lines is a block;
 among equal lengths the first in the old version, then the first in the new one.
 What lies left and right of it are new regions. All regions of all pairs are cut
-at the same time:
-
-* a region with many lines is cut by joins: equal lines are joined, islands on the
-  diagonals are the runs, the best run splits the region. Its lines are never
-  gathered in one place.
-* a region of at most ``leaf`` lines travels as two arrays of line keys and is
-  finished inside one Arrow batch. So is one whose lines repeat so often that
-  joining equal lines would grow faster than the region, and what is still left
-  after ``MAX_ROUNDS`` cuts (long chains of short blocks).
+at the same time, by joins and windows:
+
+* Equal neighbours are one element with a length. Elements of both versions that are equal are
+  joined; such a rectangle of equal lines is one piece for each of its diagonals, and pieces that
+  touch on a diagonal are a run. So runs are as many as lines, also where one line is repeated.
+* A round takes the longest runs of every region, the first one, the first one after it and so on:
+  no longer one can lie between them. The other runs are shorter than these blocks, so
+  each keeps at most one part between two of them. Every round lessens the greatest
+  length in all regions, so rounds are as many as different lengths.
+* Where lines repeat so often that joining them would grow faster than the region, windows of
+  2, 4, 8, ... lines are named by hashes, each from two of half the length. The longest
+  windows that both versions hold are joined instead of lines. What they leave are smaller regions
+  without a window of that length in common, which are looked at again.
 
 Positions are 0-based here, intervals half-open.
 """
 
 from __future__ import annotations
 
-from difflib import SequenceMatcher
-
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from linetrace.session import checkpointed
 
-LEAF_LINES = 256
+#: Joined elements for each line of a region, above which windows of lines are joined instead.
 REPEAT_FACTOR = 8
-MAX_ROUNDS = 12
+#: Windows have up to two to this power lines; a longer run is made of several.
+LEVELS = 20
 
 REGION = ["pair_id", "region"]
 
@@ -70,181 +73,274 @@ def _with_popular(keys: DataFrame, sizes: DataFrame, autojunk: bool) -> DataFram
     )
 
 
-def _routed(positions: DataFrame, leaf: int) -> DataFrame:
-    """Drop regions without an equal line; mark the others for cutting (``cut``) or not."""
-    per_key = positions.groupBy(*REGION, "key").agg(
+def _elements(positions: DataFrame) -> DataFrame:
+    """Equal neighbours as one: ``pair_id, region, side, key, start, size``, from ``... pos, key``."""
+    order = Window.partitionBy(*REGION, "side").orderBy("pos")
+    new = (F.lag("pos").over(order) + 1 != F.col("pos")) | (F.lag("key").over(order) != F.col("key"))
+    return (
+        positions.withColumn("new", F.when(F.coalesce(new, F.lit(True)), 1).otherwise(0))
+        .withColumn("element", F.sum("new").over(order))
+        .groupBy(*REGION, "side", "element")
+        .agg(F.first("key").alias("key"), F.min("pos").alias("start"), F.count(F.lit(1)).cast("int").alias("size"))
+        .drop("element")
+    )
+
+
+def _often_repeated(elements: DataFrame, factor: int) -> DataFrame:
+    """Regions where joining equal elements gives more than ``factor`` times the lines."""
+    per_key = elements.groupBy(*REGION, "key").agg(
         F.count_if(F.col("side") == "old").alias("a"),
         F.count_if(F.col("side") == "new").alias("b"),
-        F.bool_or("popular").alias("popular"),
+        F.sum("size").alias("lines"),
     )
-    seeds = F.when(F.col("popular"), 0).otherwise(F.col("a") * F.col("b"))
-    total = F.col("n_old") + F.col("n_new")
-    regions = (
-        per_key.groupBy(*REGION)
-        .agg(
-            F.sum("a").alias("n_old"),
-            F.sum("b").alias("n_new"),
-            F.sum(seeds).alias("seeds"),
-            F.sum(F.col("a") * F.col("b")).alias("hits"),
-        )
-        .where("n_old > 0 and n_new > 0 and hits > 0")
-        .select(
+    sums = per_key.groupBy(*REGION).agg(F.sum(F.col("a") * F.col("b")).alias("joined"), F.sum("lines").alias("lines"))
+    return sums.where(F.col("joined") > factor * F.col("lines")).select(*REGION)
+
+
+def _runs(elements: DataFrame) -> DataFrame:
+    """Runs of equal elements on a diagonal, as long as they get: ``pair_id, region, i, j, n``."""
+    old = elements.where("side = 'old'").select(*REGION, "key", F.col("start").alias("si"), F.col("size").alias("a"))
+    new = elements.where("side = 'new'").select(*REGION, "key", F.col("start").alias("sj"), F.col("size").alias("b"))
+    pieces = (
+        old.join(new, [*REGION, "key"])
+        .select(*REGION, "si", "a", "sj", "b", F.explode(F.expr("sequence(1 - a, b - 1)")).alias("o"))
+        .selectExpr(
             *REGION,
-            (
-                (total > leaf) & (F.col("seeds") > 0) & (F.col("seeds") <= REPEAT_FACTOR * total)
-            ).alias("cut"),
+            "si + greatest(0, -o) as i",
+            "sj + greatest(0, o) as j",
+            "least(a - greatest(0, -o), b - greatest(0, o)) as n",
         )
-    )
-    return positions.join(regions, REGION)
-
-
-def _longest_runs(positions: DataFrame, autojunk: bool) -> DataFrame:
-    """The best block of every region: ``pair_id, region, i, j, n``."""
-    old = positions.where("side = 'old'").select(*REGION, F.col("pos").alias("i"), "key", "popular")
-    new = positions.where("side = 'new'").select(*REGION, F.col("pos").alias("j"), "key", "popular")
-    seeds = (
-        old.where("not popular")
-        .drop("popular")
-        .join(new.where("not popular").drop("popular"), [*REGION, "key"])
         .withColumn("diagonal", F.col("j") - F.col("i"))
     )
     along = Window.partitionBy(*REGION, "diagonal").orderBy("i")
-    best = (
-        seeds.withColumn("island", F.col("i") - F.row_number().over(along))
-        .groupBy(*REGION, "diagonal", "island")
-        .agg(F.min("i").alias("i"), F.min("j").alias("j"), F.count(F.lit(1)).alias("n"))
-        .groupBy(*REGION)
-        .agg(F.min(F.struct((-F.col("n")).alias("m"), "i", "j")).alias("b"))
-        .select(
-            *REGION,
-            F.col("b.i").alias("i"),
-            F.col("b.j").alias("j"),
-            (-F.col("b.m")).cast("int").alias("n"),
-        )
-    )
-    if not autojunk:
-        return best
-    # Popular lines next to the block belong to it while they stay equal.
-    start, stop = F.col("i"), F.col("i") + F.col("n")
-    diagonal = (
-        old.select(*REGION, F.col("i").alias("at"), F.col("key").alias("old_key"))
-        .join(best, REGION)
-        .withColumn("across", F.col("at") + F.col("j") - F.col("i"))
-        .join(
-            new.select(*REGION, F.col("j").alias("across"), F.col("key").alias("new_key")),
-            [*REGION, "across"],
-            "left",
-        )
-        .withColumn("same", F.col("old_key").eqNullSafe(F.col("new_key")))
-    )
-    first = F.coalesce(
-        F.max(F.when(~F.col("same") & (F.col("at") < start), F.col("at"))) + 1, F.min("at")
-    )
-    last = F.coalesce(
-        F.min(F.when(~F.col("same") & (F.col("at") >= stop), F.col("at"))), F.max("at") + 1
-    )
+    touches = F.lag(F.col("i") + F.col("n")).over(along) == F.col("i")
     return (
-        diagonal.groupBy(*REGION, "i", "j")
-        .agg(first.alias("first"), last.alias("last"))
-        .select(
-            *REGION,
-            F.col("first").alias("i"),
-            (F.col("j") - F.col("i") + F.col("first")).alias("j"),
-            (F.col("last") - F.col("first")).alias("n"),
-        )
+        pieces.withColumn("new", F.when(F.coalesce(touches, F.lit(False)), 0).otherwise(1))
+        .withColumn("run", F.sum("new").over(along))
+        .groupBy(*REGION, "diagonal", "run")
+        .agg(F.min("i").alias("i"), F.min("j").alias("j"), F.sum("n").cast("int").alias("n"))
+        .drop("diagonal", "run")
     )
 
 
-def _cut(positions: DataFrame, blocks: DataFrame) -> DataFrame:
-    """Lines outside the blocks, in their new regions (named by old start)."""
-    start = F.when(F.col("side") == "old", F.col("i")).otherwise(F.col("j"))
-    return (
-        positions.join(blocks, REGION)
-        .where((F.col("pos") < start) | (F.col("pos") >= start + F.col("n")))
-        .select(
-            "pair_id",
-            F.when(F.col("pos") < start, F.col("region"))
-            .otherwise(F.col("i") + F.col("n"))
-            .alias("region"),
-            "side",
-            "pos",
-            "key",
-            "popular",
-        )
-    )
+def _windows(positions: DataFrame, keys: list[str], levels: int, forward: bool = True) -> DataFrame:
+    """Add ``h``: hashes of the 1, 2, 4, ... lines from here on, or up to here; null beyond the end."""
+    order, step = Window.partitionBy(*keys, "side").orderBy("pos"), F.lead if forward else F.lag
+    out, names = positions.withColumn("h0", F.col("key")), ["h0"]
+    for k in range(1, levels + 1):
+        half, width = names[-1], 1 << (k - 1)
+        other = step(half, width).over(order)
+        reach = step("pos", width).over(order)
+        there = other.isNotNull() & F.col(half).isNotNull() & (F.abs(reach - F.col("pos")) == width)
+        names.append(f"h{k}")
+        out = out.withColumn(names[-1], F.when(there, F.xxhash64(half, other)))
+    return out.withColumn("h", F.array(*names)).drop(*names)
+
 
+def _reached(points: DataFrame, near: DataFrame, levels: int, forward: bool) -> DataFrame:
+    """``pair_id, d, at, end`` of points ``pair_id, d, at``: how far the lines on diagonal ``d`` are equal from there.
 
-_BLOCK = T.StructType([T.StructField(name, T.IntegerType()) for name in ("i", "j", "n")])
+    The longest equal windows from a point are skipped, until none is left. Forward, ``at`` is the
+    first line to look at and ``end`` is behind the last equal one; backward, ``at`` is behind the first
+    line to look at and ``end`` is the last equal one.
+    """
+    table = checkpointed(_windows(near, ["pair_id"], levels, forward).select("pair_id", "side", "pos", "h"))
+    shift, sign = (0, 1) if forward else (1, -1)
+    old = table.where("side = 'old'").select("pair_id", (F.col("pos") + shift).alias("end"), F.col("h").alias("x"))
+    new = table.where("side = 'new'").select("pair_id", (F.col("pos") + shift).alias("across"), F.col("h").alias("y"))
+    going = points.select("pair_id", "d", "at", F.col("at").alias("end"))
+    done = []
+    while True:
+        looked = going.withColumn("across", F.col("end") + F.col("d"))
+        looked = looked.join(old, ["pair_id", "end"], "left").join(new, ["pair_id", "across"], "left")
+        equal = F.expr("array_max(filter(sequence(0, size(x) - 1), k -> get(x, k) = get(y, k)))")
+        level = F.when(F.col("x").isNotNull() & F.col("y").isNotNull(), equal)
+        step = F.coalesce(F.expr(f"{sign} * shiftleft(1, level)"), F.lit(0))
+        moved = looked.withColumn("level", level).select("pair_id", "d", "at", (F.col("end") + step).cast("int").alias("end"), "level")
+        moved = checkpointed(moved)
+        done.append(moved.where("level is null").drop("level"))
+        going = moved.where("level is not null").drop("level")
+        if going.isEmpty():
+            break
+    out = done[0]
+    for more in done[1:]:
+        out = out.unionByName(more)
+    return out
 
 
-@F.pandas_udf(T.ArrayType(_BLOCK))
-def _small_blocks(old: pd.Series, new: pd.Series, popular: pd.Series) -> pd.Series:
-    def blocks(a, b, skip):
-        matcher = SequenceMatcher(None, a.tolist(), b.tolist(), autojunk=False)
-        for key in skip:
-            matcher.b2j.pop(key, None)
-        return [{"i": i, "j": j, "n": n} for i, j, n in matcher.get_matching_blocks() if n]
+def _extents(runs: DataFrame, keys: DataFrame, popular: DataFrame, levels: int) -> DataFrame:
+    """Add ``fi, fe``: how far the lines around a run are equal on its diagonal, popular ones included."""
+    near = keys.join(popular, "pair_id", "left_semi")
+    out = runs.withColumn("d", F.expr("j - i")).withColumn("e", F.expr("i + n"))
+    ends = checkpointed(out.join(popular, "pair_id", "left_semi").select("pair_id", "d", "i", "e"))
+    for name, forward in (("e", True), ("i", False)):
+        points = ends.select("pair_id", "d", F.col(name).alias("at")).distinct()
+        reached = _reached(points, near, levels, forward).withColumnRenamed("at", name).withColumnRenamed("end", f"f{name}")
+        out = out.join(reached, ["pair_id", "d", name], "left").withColumn(f"f{name}", F.coalesce(f"f{name}", name))
+    return out.drop("d", "e")
 
-    return pd.Series([blocks(*row) for row in zip(old, new, popular)])
 
+def _corners(blocks: DataFrame, keys: DataFrame, sizes: DataFrame, popular: DataFrame, levels: int) -> DataFrame:
+    """Blocks of popular lines at the start of regions where no block begins otherwise."""
+    gaps = checkpointed(_gaps(sizes.join(popular, "pair_id", "left_semi"), blocks.join(popular, "pair_id", "left_semi")))
+    points = gaps.select("pair_id", F.expr("blo - alo").alias("d"), F.col("alo").alias("at"))
+    reached = _reached(points, keys.join(popular, "pair_id", "left_semi"), levels, True)
+    found = gaps.join(reached.select("pair_id", F.col("at").alias("alo"), "end"), ["pair_id", "alo"])
+    size = F.expr("least(end, ahi, bhi - blo + alo) - alo")
+    return found.select("pair_id", F.col("alo").alias("i"), F.col("blo").alias("j"), size.alias("n")).where("n > 0")
 
-def _leaf_blocks(positions: DataFrame) -> DataFrame:
-    def ordered(side: str) -> Column:
-        rows = F.collect_list(F.when(F.col("side") == side, F.struct("pos", "key")))
-        return F.sort_array(rows)
 
-    regions = positions.groupBy(*REGION).agg(
-        ordered("old").alias("old"),
-        ordered("new").alias("new"),
-        F.collect_set(F.when(F.col("popular"), F.col("key"))).alias("popular"),
-    )
-    arrays = regions.select(
-        "pair_id",
-        F.col("old")[0]["pos"].alias("i0"),
-        F.col("new")[0]["pos"].alias("j0"),
-        F.col("old.key").alias("old"),
-        F.col("new.key").alias("new"),
-        "popular",
-    )
-    same = F.col("old") == F.col("new")
-    whole = arrays.where(same).select(
-        "pair_id", F.col("i0").alias("i"), F.col("j0").alias("j"), F.size("old").alias("n")
-    )
-    rest = (
-        arrays.where(~same & F.arrays_overlap("old", "new"))
-        .withColumn("b", F.explode(_small_blocks("old", "new", "popular")))
-        .select(
-            "pair_id",
-            (F.col("i0") + F.col("b.i")).alias("i"),
-            (F.col("j0") + F.col("b.j")).alias("j"),
-            F.col("b.n").alias("n"),
+_GAPS = T.ArrayType(T.StructType([T.StructField(n, T.IntegerType()) for n in ("i", "j", "n", "next_i", "next_j")]))
+
+
+@F.arrow_udf(_GAPS)
+def _chain(runs: pa.Array, alo: pa.Array, ahi: pa.Array, blo: pa.Array, bhi: pa.Array) -> pa.Array:
+    """Of runs in order the first, the first after it, and so on, each with what follows it.
+
+    A block takes in what is equal around it, up to the block before and the end of the
+    region. The first entry is the start of the region.
+    """
+    names = ("i", "j", "n", "next_i", "next_j")
+    out = []
+    for listed, *bounds in zip(runs, alo, ahi, blo, bhi):
+        low_i, high_i, low_j, high_j = (b.as_py() for b in bounds)
+        blocks = [(low_i, low_j, 0)]
+        end_i, end_j = low_i, low_j
+        for run in listed.as_py():
+            i, j, n = run["i"], run["j"], run["n"]
+            if i >= end_i and j >= end_j:
+                back = min(i - run["fi"], i - end_i, j - end_j)
+                size = n + back + min(run["fe"] - i - n, high_i - i - n, high_j - j - n)
+                blocks.append((i - back, j - back, size))
+                end_i, end_j = i - back + size, j - back + size
+        nexts = [*[b[:2] for b in blocks[1:]], (high_i, high_j)]
+        out.append([dict(zip(names, (*block, *after))) for block, after in zip(blocks, nexts)])
+    fields = pa.list_(pa.struct([(name, pa.int32()) for name in names]))
+    return pa.array(out, fields)
+
+
+def _cut(runs: DataFrame) -> list[DataFrame]:
+    """Tables of blocks ``pair_id, i, j, n``, one a round.
+
+    ``runs`` has ``pair_id, region, i, j, n``, the extents ``fi, fe``, the bounds of the region and
+    ``least``: shorter parts of runs are left to a later look at the region.
+    """
+    blocks = []
+    bounds = ["alo", "ahi", "blo", "bhi"]
+    inside = Window.partitionBy(*REGION)
+    order = inside.orderBy("i", "kind").rowsBetween(Window.unboundedPreceding, 0)
+    runs = checkpointed(runs)
+    while not runs.isEmpty():
+        best = runs.withColumn("most", F.max("n").over(inside)).where("n = most")
+        folded = best.groupBy(*REGION).agg(
+            F.sort_array(F.collect_list(F.struct("i", "j", "n", "fi", "fe"))).alias("runs"), *[F.first(b).alias(b) for b in bounds]
         )
-    )
-    return whole.unionByName(rest)
+        gaps = checkpointed(folded.select(*REGION, F.explode(_chain("runs", *bounds)).alias("g")).select(*REGION, "g.*"))
+        blocks.append(gaps.where("n > 0").select("pair_id", "i", "j", "n"))
+        gap = F.struct(
+            F.expr("i + n").alias("alo"), F.col("next_i").alias("ahi"), F.expr("j + n").alias("blo"), F.col("next_j").alias("bhi")
+        )
+        events = gaps.select(*REGION, "i", F.lit(0).alias("kind"), gap.alias("gap")).unionByName(
+            runs.drop(*bounds).withColumn("kind", F.lit(1)), allowMissingColumns=True
+        )
+        placed = events.withColumn("gap", F.last("gap", ignorenulls=True).over(order)).where("kind = 1")
+        start = F.greatest(F.col("i"), F.col("gap.alo"), F.col("gap.blo") - F.col("j") + F.col("i"))
+        stop = F.least(F.col("i") + F.col("n"), F.col("gap.ahi"), F.col("gap.bhi") - F.col("j") + F.col("i"))
+        clipped = placed.withColumn("start", start).withColumn("left", stop - start).where(F.col("left") >= F.col("least"))
+        runs = checkpointed(
+            clipped.select(
+                "pair_id", F.col("gap.alo").alias("region"), F.col("start").alias("i"),
+                (F.col("j") + F.col("start") - F.col("i")).alias("j"), F.col("left").cast("int").alias("n"), "fi", "fe", "least", "gap.*",
+            )
+        )
+    return blocks
 
 
-def matching_blocks(keys: DataFrame, autojunk: bool, leaf: int = LEAF_LINES) -> DataFrame:
+def _gaps(sizes: DataFrame, blocks: DataFrame) -> DataFrame:
+    """``pair_id, alo, ahi, blo, bhi``: regions between the blocks that have lines on both sides."""
+    ends = sizes.select("pair_id", F.col("n_old").alias("i"), F.col("n_new").alias("j"), F.lit(0).alias("n"))
+    starts = sizes.select("pair_id", F.lit(0).alias("i"), F.lit(0).alias("j"), F.lit(0).alias("n"))
+    order = Window.partitionBy("pair_id").orderBy("i", "j", "n")
+    listed = starts.unionByName(blocks).unionByName(ends)
+    return listed.select(
+        "pair_id", F.expr("i + n").alias("alo"), F.lead("i").over(order).alias("ahi"),
+        F.expr("j + n").alias("blo"), F.lead("j").over(order).alias("bhi"),
+    ).where("ahi > alo and bhi > blo")
+
+
+def _bounds(positions: DataFrame, sizes: DataFrame, blocks: DataFrame | None) -> DataFrame:
+    """Lines outside the blocks, with ``region`` (its old start) and the region's bounds."""
+    if blocks is None:
+        whole = sizes.select("pair_id", F.lit(0).alias("alo"), F.col("n_old").alias("ahi"), F.lit(0).alias("blo"), F.col("n_new").alias("bhi"))
+        return positions.join(whole, "pair_id").withColumn("region", F.col("alo"))
+    gaps = _gaps(sizes, blocks)
+    gap = F.struct("alo", "ahi", "blo", "bhi")
+    sided = gaps.select("pair_id", F.expr("stack(2, 'old', alo, 'new', blo) as (side, pos)"), gap.alias("gap"))
+    events = sided.withColumn("kind", F.lit(0)).unionByName(positions.withColumn("kind", F.lit(1)), allowMissingColumns=True)
+    before = Window.partitionBy("pair_id", "side").orderBy("pos", "kind").rowsBetween(Window.unboundedPreceding, 0)
+    placed = events.withColumn("gap", F.last("gap", ignorenulls=True).over(before)).where("kind = 1")
+    end = F.when(F.col("side") == "old", F.col("gap.ahi")).otherwise(F.col("gap.bhi"))
+    return placed.where(F.col("pos") < end).select("pair_id", F.col("gap.alo").alias("region"), "side", "pos", "key", "gap.*")
+
+
+def matching_blocks(keys: DataFrame, autojunk: bool, factor: int = REPEAT_FACTOR, levels: int = LEVELS) -> DataFrame:
     """``pair_id, i, j, n`` of all blocks, from ``pair_id, side, pos, key``."""
-    sizes = pair_sizes(keys)
-    marked = _with_popular(keys, sizes, autojunk).withColumn("region", F.lit(0))
-    positions = checkpointed(_routed(marked, leaf))
-    leaves = positions.where("not cut").drop("cut")
-    cuts = []
-    for _ in range(MAX_ROUNDS):
-        if (large := positions.where("cut").drop("cut")).isEmpty():
+    sizes = checkpointed(pair_sizes(keys))
+    marked = _with_popular(keys, sizes, autojunk)
+    popular = checkpointed(marked.where("popular").select("pair_id").distinct()) if autojunk else None
+    popular = None if popular is None or popular.isEmpty() else popular
+    seeds = marked.where("not popular").drop("popular")
+    lengths = sizes.agg(F.max(F.least("n_old", "n_new"))).first()[0] or 0
+    levels = min(levels, max(lengths.bit_length() - 1, 0))
+    bounds = ["region", "alo", "ahi", "blo", "bhi"]
+    found: list[DataFrame] = []
+
+    def cut(runs: DataFrame, regions: DataFrame, least: Column) -> None:
+        runs = runs.withColumn("least", least)
+        if popular is not None:
+            runs = _extents(checkpointed(runs), keys, popular, levels)
+        else:
+            runs = runs.withColumn("fi", F.col("i")).withColumn("fe", F.expr("i + n"))
+        found.extend(_cut(runs.join(regions, REGION)))
+
+    def together() -> DataFrame:
+        blocks = sizes.select("pair_id", *[F.lit(0).alias(c) for c in "ijn"]).where(F.lit(False))
+        for more in found:
+            blocks = blocks.unionByName(more)
+        return blocks
+
+    open_ = _bounds(seeds, sizes, None)
+    while True:
+        open_ = checkpointed(open_)
+        regions = open_.select("pair_id", *bounds).distinct()
+        elements = checkpointed(_elements(open_.select(*REGION, "side", "pos", "key")))
+        often = checkpointed(_often_repeated(elements, factor)) if levels else None
+        if often is None or often.isEmpty():
+            cut(_runs(elements), regions, F.lit(1))
             break
-        found = checkpointed(_longest_runs(large, autojunk))
-        positions = checkpointed(_routed(_cut(large, found), leaf))
-        leaves = leaves.unionByName(positions.where("not cut").drop("cut"))
-        cuts.append(found.drop("region"))
-    blocks = _leaf_blocks(leaves.unionByName(positions.where("cut").drop("cut")))
-    for found in cuts:
-        blocks = blocks.unionByName(found)
-    return blocks
+        cut(_runs(elements.join(often, REGION, "left_anti")), regions, F.lit(1))
+        # The longest windows that both versions of a region hold.
+        hashed = _windows(open_.join(often, REGION, "left_semi").select(*REGION, "side", "pos", "key"), REGION, levels)
+        listed = hashed.select(*REGION, "side", "pos", F.posexplode("h").alias("level", "key")).where("key is not null")
+        listed = checkpointed(listed)
+        common = listed.groupBy(*REGION, "level", "key").agg(F.count_if(F.col("side") == "old").alias("a"), F.count_if(F.col("side") == "new").alias("b"))
+        longest = checkpointed(common.where("a > 0 and b > 0").groupBy(*REGION).agg(F.max("level").alias("level")))
+        windows = _elements(listed.join(longest, [*REGION, "level"]).select(*REGION, "side", "pos", "key"))
+        width = F.expr("shiftleft(1, level)")
+        runs = _runs(windows).join(longest, REGION).withColumn("n", (F.col("n") + width - 1).cast("int"))
+        cut(runs.withColumn("width", width).drop("level"), regions, F.col("width"))
+        # Regions whose longest windows are single lines are cut to the end by now.
+        left = checkpointed(longest.where("level > 0"))
+        again = open_.join(left, REGION, "left_semi").select("pair_id", "side", "pos", "key", "region")
+        if again.isEmpty():
+            break
+        open_ = _bounds(again.drop("region"), sizes, checkpointed(together()))
+    blocks = together()
+    return blocks if popular is None else blocks.unionByName(_corners(checkpointed(blocks), keys, sizes, popular, levels))
 
 
 def hunks(
-    lines: DataFrame, key: Column | str = "text", autojunk: bool = True, leaf: int = LEAF_LINES
+    lines: DataFrame, key: Column | str = "text", autojunk: bool = True, factor: int = REPEAT_FACTOR
 ) -> DataFrame:
     """Edit steps of every pair in order: ``pair_id, hunk_no, tag, i1, i2, j1, j2``.
 
@@ -252,7 +348,7 @@ def hunks(
     """
     keys = checkpointed(_keys(lines, F.col(key) if isinstance(key, str) else key))
     sizes = pair_sizes(keys)
-    blocks = matching_blocks(keys, autojunk, leaf)
+    blocks = matching_blocks(keys, autojunk, factor)
     ends = sizes.select(
         "pair_id", F.col("n_old").alias("i"), F.col("n_new").alias("j"), F.lit(0).alias("n")
     )

@@ -2,6 +2,7 @@ import random
 from difflib import SequenceMatcher
 
 import pytest
+from pyspark.sql import functions as F
 
 from linetrace.operators import align, merge
 
@@ -28,20 +29,39 @@ def by_pair(rows):
     return result
 
 
-@pytest.mark.parametrize("autojunk, leaf, long", [(False, 256, 60), (False, 60, 90), (True, 256, 260), (True, 150, 230)])
-def test_hunks_follow_the_sequence_matcher(make_lines, autojunk, leaf, long):
+@pytest.mark.parametrize("autojunk, factor, long", [(False, 8, 60), (False, 0, 90), (True, 8, 260), (True, 0, 230)])
+def test_hunks_follow_the_sequence_matcher(make_lines, autojunk, factor, long):
+    """With factor 0 every region goes by windows of lines."""
     pairs = random_pairs(7, 30, long)
-    steps = align.hunks(make_lines(pairs), "text", autojunk, leaf)
+    steps = align.hunks(make_lines(pairs), "text", autojunk, factor)
     got = by_pair(steps.orderBy("pair_id", "hunk_no").collect())
     for pair, (old, new) in pairs.items():
         assert got.get(pair, []) == SequenceMatcher(None, old, new, autojunk=autojunk).get_opcodes(), pair
 
 
-def test_repeated_lines_do_not_multiply(make_lines):
-    pairs = {"p": (["x"] * 300 + ["a"], ["b"] + ["x"] * 290)}
-    steps = align.hunks(make_lines(pairs), "text", autojunk=False, leaf=10)
-    got = by_pair(steps.orderBy("hunk_no").collect())
-    assert got["p"] == SequenceMatcher(None, *pairs["p"], autojunk=False).get_opcodes()
+def test_runs_of_one_line(make_lines):
+    rng = random.Random(3)
+
+    def version():
+        return [x for _ in range(rng.randrange(1, 9)) for x in rng.choice("xxyz") * rng.randrange(1, 7)]
+
+    pairs = {"p": (["x"] * 300 + ["a"], ["b"] + ["x"] * 290)} | {f"q{k}": (version(), version()) for k in range(40)}
+    steps = align.hunks(make_lines(pairs), "text", autojunk=False)
+    got = by_pair(steps.orderBy("pair_id", "hunk_no").collect())
+    for pair, versions in pairs.items():
+        assert got[pair] == SequenceMatcher(None, *versions, autojunk=False).get_opcodes()
+
+
+def test_many_equal_lines_and_many_blocks(spark):
+    """A pair with 100,000 equal lines a side, and one with 400 single blocks, by joins alone."""
+    wide = spark.range(100_000).selectExpr("'w' as pair_id", "'old' as side", "int(id + 1) as line_no", "'x' as text")
+    wide = wide.unionByName(wide.where("line_no < 99000").withColumn("side", F.lit("new")))
+    many = spark.range(800).selectExpr("'m' as pair_id", "'old' as side", "int(id + 1) as line_no", "if(id % 2 = 0, 'k' || id, 'o' || id) as text")
+    many = many.unionByName(many.selectExpr("pair_id", "'new' as side", "line_no", "replace(text, 'o', 'n') as text"))
+    steps = align.hunks(wide.unionByName(many), "text", autojunk=False)
+    got = by_pair(steps.orderBy("pair_id", "hunk_no").collect())
+    assert got["w"] == [("equal", 0, 98999, 0, 98999), ("delete", 98999, 100000, 98999, 98999)]
+    assert len(got["m"]) == 800 and all(tag == ("equal", "replace")[k % 2] for k, (tag, *_) in enumerate(got["m"]))
 
 
 def test_edges_ranges_and_unmatched(make_lines):
