@@ -169,7 +169,7 @@ def op6_training_order(spark, sf_dir):
 def op9_line_dedup(spark, sf_dir):
     found = line_dedup.line_members(table(spark, sf_dir, "documents"))
     return found.select(
-        "doc_id", "line_no", "line_md5", "first_doc_id", "copies", "n_links", "class_line", "class_doc_id"
+        "doc_id", "line_no", "line_md5", "first_doc_id", "copies", "class_line", "class_doc_id"
     )
 
 

@@ -236,3 +236,18 @@ def ranked(documents, items, size=10):
         for rank, (score, none, doc) in enumerate(sorted(found)[:size], 1):
             out.append((item, rank, None if none else doc, -score))
     return out
+
+
+def components(count, pairs):
+    """``{node: least node it is connected to}``."""
+    least = list(range(count))
+
+    def find(x):
+        while least[x] != x:
+            x = least[x]
+        return x
+
+    for a, b in pairs:
+        a, b = sorted((find(a), find(b)))
+        least[b] = a
+    return {k: find(k) for k in range(count)}

@@ -383,10 +383,52 @@ def test_line_links(spark, crowd):
             lines.add("".join(chars))
     lines |= {"a" * n for n in range(20, 26)} | {"ab" * 12, "ab" * 12 + "a"}
     lines = sorted(x for x in lines if len(x) >= 20)
-    df = spark.createDataFrame([(k, -k, x, len(x)) for k, x in enumerate(lines)], "h1 bigint, h2 bigint, line string, n int")
-    got = sorted(tuple(sorted((r.a.h1, r.b.h1))) for r in line_dedup.linked_lines(df, 2, crowd).collect())
+    schema = "h1 bigint, h2 bigint, line string, n int, copies bigint"
+    df = spark.createDataFrame([(k, -k, x, len(x), 1 + k % 3) for k, x in enumerate(lines)], schema)
+    got = [(r.a.h1, r.b.h1) for r in line_dedup.linked_lines(df, 2, 20, crowd).collect()]
     want = [(i, j) for i in range(len(lines)) for j in range(i + 1, len(lines)) if plain.edits(lines[i], lines[j]) <= 2]
-    assert got == want
+    assert {tuple(sorted(p)) for p in got} <= set(want)
+    assert plain.components(len(lines), got) == plain.components(len(lines), want)
+
+
+@pytest.mark.parametrize("limits", [line_dedup.LIMITS, ((2, 20),)])
+def test_line_classes_of_copies_and_short_lines(spark, limits):
+    """Near copies without their original, rules of dashes, short lines: classes by comparing all lines."""
+    rng = random.Random(12)
+    base = "the quick brown fox jumps over the lazy dog and runs"
+
+    def changed(line, edits):
+        chars = list(line)
+        for _ in range(edits):
+            at = rng.randrange(len(chars))
+            rng.choice([lambda: chars.pop(at), lambda: chars.insert(at, rng.choice("xyz")), lambda: chars.__setitem__(at, "#")])()
+        return "".join(chars)
+
+    lines = {changed(base, rng.randrange(1, 3)) for _ in range(120)} | {c * n for c in "-=a" for n in range(4, 30)}
+    lines |= {changed("tiny line of it", 1) for _ in range(25)} | {f"Item {k}" for k in range(20)} | {f"Chapter {k} of it" for k in range(60)}
+    lines |= {"nineteen chars line", "nineteen chars, line", "nineteen char, line", "ab" * 9, "ab" * 10, "ab" * 11 + "c"}
+    lines = sorted(x for x in lines if plain.WHITE_WORD.search(x))
+    frame = spark.createDataFrame([(k, x) for k, x in enumerate(lines)], "doc_id bigint, text string")
+    found = {r.doc_id: r.class_doc_id for r in line_dedup.line_classes(frame, limits=limits).collect()}
+
+    def linked(x, y):
+        edits = max((e for e, least in limits if max(len(x), len(y)) >= least), default=0)
+        return abs(len(x) - len(y)) <= edits and plain.edits(x, y) <= edits
+
+    pairs = [(i, j) for i in range(len(lines)) for j in range(i) if linked(lines[i], lines[j])]
+    assert found == plain.components(len(lines), pairs)
+
+
+def test_links_grow_with_near_copies_only(spark):
+    """Links and candidates of one group are as many as its lines, not as their pairs."""
+    words = [f"word{k}" for k in range(9)]
+
+    def links(count):
+        lines = {f"{' '.join(words)} number {k:05d}" for k in range(count)} | {" ".join(words) + " number 00000"}
+        rows = [(k, -k, x, len(x), 1) for k, x in enumerate(sorted(lines))]
+        return line_dedup.linked_lines(spark.createDataFrame(rows, "h1 bigint, h2 bigint, line string, n int, copies bigint"), 2, 20).count()
+
+    assert links(400) < 20 * 400
 
 
 def test_line_classes(odd, repeated, none):
