@@ -96,6 +96,11 @@ cte("unicode_rows", "versions", r"""
           FROM (SELECT pair_id, side,
                        regexp_split_to_array(text, '\r\n|[\r\n\x0b\x0c\x1c-\x1e\x{85}\x{2028}\x{2029}]') AS parts
                 FROM versions))""")
+cte("files", "", """
+    SELECT CAST(doc_id // 1000 AS VARCHAR) AS pair_id, 'new' AS side,
+           string_agg(coalesce(text, ''), chr(10) ORDER BY doc_id, text) || chr(10) AS text
+    FROM documents WHERE doc_id IS NOT NULL GROUP BY doc_id // 1000""")
+cte("file_lines", "files", lines_body("files"))
 cte("turns", "", """
     SELECT conv_id, role, turn, text,
            lag(turn) OVER (PARTITION BY conv_id, role ORDER BY turn) AS prev
@@ -521,6 +526,9 @@ report_tables("range", "range_mapping", "lines", none=False)
 def statements() -> dict[str, str]:
     return {
         "version_lines": statement("lines", "SELECT pair_id, side, line_no, text, has_eol FROM lines"),
+        "block_lines": statement(
+            "file_lines", "SELECT pair_id, side, CAST(line_no AS BIGINT) AS line_no, text, has_eol FROM file_lines"
+        ),
         "unicode_lines": shaped(statement("unicode_rows", "SELECT * FROM unicode_rows"), "replace(text, ', ', chr(8232))"),
         "long_blank_lines": shaped(
             statement("normal", "SELECT pair_id, side, line_no FROM normal WHERE pre = ''"), SENTENCES

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -13,8 +14,9 @@ from linetrace.plans import hybrid
 from linetrace.plans.best import map_best
 from linetrace.plans.hybrid import map_hybrid
 from linetrace.plans.ranges import map_ranges
-from linetrace.session import checkpointed
+from linetrace.session import checkpointed, scratch_folder
 from linetrace.sinks import reports
+from linetrace.sources.blocks import read_lines
 from linetrace.sources.documents import conversation_versions, document_versions, load, pair_votes as line_votes, version_pairs
 from linetrace.sources.lines import decoded, split_lines
 
@@ -33,7 +35,8 @@ def pairs_of(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lines_of(spark: SparkSession, sf_dir: str, mode: str = "newline") -> DataFrame:
-    return split_lines(document_versions(load(spark, sf_dir, "documents")), mode)
+    """Lines of all version pairs, written once: their use is no new pairing."""
+    return checkpointed(split_lines(document_versions(load(spark, sf_dir, "documents")), mode))
 
 
 def pre_of(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,7 +81,7 @@ def shaped_lines(spark: SparkSession, sf_dir: str, new: str, old: str | None = N
     """Lines of the version pairs after SQL over ``text`` has changed both sides."""
     versions = document_versions(load(spark, sf_dir, "documents"))
     shaped = f"case side when 'new' then {new} else {new if old is None else old} end"
-    return split_lines(versions.withColumn("text", F.expr(shaped)), mode)
+    return checkpointed(split_lines(versions.withColumn("text", F.expr(shaped)), mode))
 
 
 # A line and a blank line for every sentence: blank, popular and many lines.
@@ -122,6 +125,18 @@ def replaced_bytes(spark, sf_dir):
     return load(spark, sf_dir, "documents").select("doc_id", decoded(content, "replace").alias("text"))
 
 
+@query
+def block_lines(spark, sf_dir):
+    """Lines of files of a thousand documents each, written as text and read in blocks."""
+    texts = load(spark, sf_dir, "documents").where("doc_id is not null").select(
+        F.concat(F.lit("file"), F.expr("doc_id div 1000"), F.lit("-new")).alias("name"), "doc_id", F.coalesce("text", F.lit("")).alias("text")
+    )
+    folder = f"{scratch_folder(spark)}/files-{uuid.uuid4().hex}"
+    ordered = texts.repartition("name").sortWithinPartitions("name", "doc_id", "text").drop("doc_id")
+    ordered.write.partitionBy("name").text(folder)
+    return read_lines(spark, folder)
+
+
 @query
 def conversation_compare(spark, sf_dir):
     versions = conversation_versions(load(spark, sf_dir, "conversations"))

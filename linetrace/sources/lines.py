@@ -19,7 +19,7 @@ def decoded(content: Column, errors: str = "strict") -> Column:
     if errors not in ("strict", "replace"):
         raise ValueError("errors must be 'strict' or 'replace'")
     if errors == "strict":
-        return F.decode(content, F.lit("UTF-8"))
+        return F.decode(content, "UTF-8")
     return F.make_valid_utf8(content.cast("string"))
 
 

@@ -1,6 +1,9 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
+from linetrace.sources.blocks import read_lines
 from linetrace.sources.documents import chain_neighbours, document_versions
 from linetrace.sources.lines import (
     complete_pairs,
@@ -40,7 +43,9 @@ def test_read_versions(spark, tmp_path):
     versions = read_versions(spark, f"{tmp_path}/*.txt", errors="replace")
     rows = {(r.pair_id, r.side): r.text for r in complete_pairs(versions).collect()}
     assert rows == {("1", "old"): "one\ntwo\n", ("1", "new"): "one\n� two\n"}
-    with pytest.raises(Exception):
+    strict = read_versions(spark, f"{tmp_path}/file[12]-old.txt")
+    assert {(r.pair_id, r.text) for r in strict.collect()} == {("1", "one\ntwo\n"), ("2", "alone\n")}
+    with pytest.raises(Exception, match="MALFORMED_CHARACTER_CODING"):
         read_versions(spark, f"{tmp_path}/*.txt").collect()
 
 
@@ -94,3 +99,40 @@ def test_numbers_follow_the_order(spark):
     got = [(r.a, r.b) for r in numbered(frame, "n", "a", "b").orderBy("n").collect()]
     assert got == sorted(rows)
     assert numbered(frame.where("a < 0"), "n", "a").count() == 0
+
+
+@pytest.fixture
+def small_blocks(spark):
+    settings = {"spark.sql.files.maxPartitionBytes": "37", "spark.sql.files.openCostInBytes": "0"}
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
+@pytest.mark.parametrize("mode", ["newline", "unicode"])
+def test_files_in_blocks(spark, tmp_path, small_blocks, mode):
+    rng = random.Random(5)
+    pieces = ["a", "line ", "é", "\n", "\r", "\r\n", "\u2028", "\x0b", "\x85", "\n\n", "x" * 50, " ", "\ufeff"]
+    texts = ["".join(rng.choice(pieces) for _ in range(rng.randrange(60))) for _ in range(40)]
+    texts += ["", "\n", "\r", "\r\n", "\n\r", "a\r\r", "a\x0b", "a\u2028\n", "\ufeff\n", "\ufeffa\n\ufeffb", "no end", "\n" * 200]
+    for k, text in enumerate(texts):
+        (tmp_path / f"file{k}-new.txt").write_bytes(text.encode() + (b"\xff\xc3\n\xe2\x80" if k % 5 == 0 else b""))
+    (tmp_path / "other.txt").write_text("left out\n")
+    found = read_lines(spark, str(tmp_path), mode, "replace")
+    assert found.where("pair_id = '51'").count() == 200
+    want = split_lines(read_versions(spark, str(tmp_path), "replace"), mode)
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_blocks_are_counted_in_order(spark, tmp_path, small_blocks):
+    (tmp_path / "file1-old.txt").write_bytes(b"".join(b"%d\n" % k for k in range(1, 5001)))
+    (tmp_path / "file1-new.txt").write_bytes(b"")
+    found = read_lines(spark, str(tmp_path))
+    assert found.rdd.getNumPartitions() > 100
+    assert found.where("text = line_no and has_eol").count() == 5000 == found.count()
+    (tmp_path / "file2-old.txt").write_bytes(b"\xff\n")
+    with pytest.raises(Exception, match="MALFORMED_CHARACTER_CODING"):
+        read_lines(spark, str(tmp_path)).collect()
