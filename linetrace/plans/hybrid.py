@@ -30,11 +30,11 @@ def exact_nonblank(pre_lines: DataFrame) -> DataFrame:
     return align.exact_edges(steps).join(old, ["pair_id", "old_line"], "left_semi")
 
 
-def _open(contexts: DataFrame, edges: DataFrame, side: str) -> DataFrame:
+def _open(features: DataFrame, edges: DataFrame, side: str) -> DataFrame:
     """Features of the lines of one side that no edge names."""
     used = edges.select("pair_id", F.col(f"{side}_line").alias("line_no"))
-    left = contexts.where(F.col("side") == side).join(used, ["pair_id", "line_no"], "left_anti")
-    return context.context_bags(context.structured(left))
+    left = features.where(F.col("side") == side).join(used, ["pair_id", "line_no"], "left_anti")
+    return context.context_bags(left)
 
 
 def map_hybrid(
@@ -47,13 +47,15 @@ def map_hybrid(
     """m:n line mapping: ``pair_id, old_line, new_line, kind, score``."""
     pre = checkpointed(context.normal_lines(lines))
     exact = checkpointed(exact_nonblank(pre))
-    contexts = context.context_of(pre)
+    # Written once by pair: every later step reads structure and context from here.
+    features = checkpointed(context.structured(context.context_of(pre)))
     scored = candidates.score_candidates(
-        _open(contexts, exact, "old"), _open(contexts, exact, "new"), match_score, k
+        _open(features, exact, "old"), _open(features, exact, "new"), match_score, k
     )
     chosen = assign.assign_greedy(scored, match_score)
     primary = checkpointed(_kind(exact, "exact").unionByName(_kind(chosen, "greedy")))
-    texts = context.structured(pre.where("pre <> ''"))
+    contexts = features.select(*pre.columns, "ctx")
+    texts = features.drop("ctx")
     split = expand.split_edges(primary, texts, contexts, split_score)
     mapped = checkpointed(primary.unionByName(_kind(split, "split")))
     merged = expand.merge_edges(mapped, texts, contexts, merge_score)

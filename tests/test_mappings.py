@@ -215,3 +215,19 @@ def test_normal_and_context(make_lines):
     assert rows[6] == "y x } foobar ab w"
     assert 2 not in rows
     assert pre.where(F.col("pre") == "").count() == 1
+
+
+@pytest.mark.parametrize("block_lines", [1, 2, 3, 7, 1000])
+def test_context_over_blocks(spark, make_lines, block_lines):
+    rng = random.Random(block_lines)
+    pairs = {f"p{k}": [[rng.choice(["", "", f"w{n}"]) for n in range(rng.randrange(40))] for _ in range(2)] for k in range(6)}
+    pre = context.normal_lines(make_lines(pairs))
+    got = {(r.pair_id, r.side, r.line_no): r.ctx for r in context.context_of(pre, block_lines=block_lines).collect()}
+    expected = {}
+    for pair, versions in pairs.items():
+        for side, texts in zip(("old", "new"), versions):
+            kept = [(number, text) for number, text in enumerate(texts, 1) if text]
+            for k, (number, _) in enumerate(kept):
+                near = kept[max(k - 4, 0) : k][::-1] + kept[k + 1 : k + 5]
+                expected[pair, side, number] = " ".join(text for _, text in near)
+    assert got == expected
