@@ -75,28 +75,33 @@ def _with_tails(rows: DataFrame, nodes: DataFrame, level: int) -> DataFrame:
 
 
 def template_tree(urls: DataFrame) -> DataFrame:
-    """Add ``template`` and ``rate`` to rows with ``host, path, label``.
+    """Add ``template``, ``rate`` and ``labels`` to rows with ``host, path, label``.
 
-    ``label`` is 1 for urls known to be blocked, 0 for allowed ones, null for unknown.
+    ``label`` is 1 for urls known to be blocked, 0 for allowed ones, null for unknown;
+    a column ``n``, if there is one, says for how many urls a row stands.
     The tree of a host grows level by level. Below each node a segment is a wildcard if
     it looks variable; of the others each stays apart, however small, only if
     its rate of blocked labels differs from its siblings' by ``DISTANCE``
     standard errors, the rest merge into the wildcard. ``rate`` is the smoothed rate
     of the deepest node: every node adds ``PRIOR`` labels of its parent's rate, and a
-    host those of all labels.
+    host those of all labels. A node without labels has the rate of all labels, for what
+    its parent knows lies in branches that were found to differ. ``labels`` counts the node's own.
 
     Work per level is one count by (node, segment), so a hot host is summed before it is
     shuffled; only named branches, which all have labels, are joined back. Rows whose path
     ends leave the rounds.
     """
-    labels = {"allow": F.sum(F.when(F.col("label") == 0, 1).otherwise(0)), "block": F.sum(F.when(F.col("label") == 1, 1).otherwise(0))}
-    sums = [v.alias(k) for k, v in labels.items()]
+    weight = F.col("n") if "n" in urls.columns else F.lit(1)
+    own = [F.when(F.col("label") == k, weight).otherwise(0).alias(name) for k, name in enumerate(("allow", "block"))]
+    urls = urls.select("*", *own)
+    sums = [F.sum(name).alias(name) for name in ("allow", "block")]
     total = urls.agg(*sums).first()
     known = (total.allow or 0) + (total.block or 0)
     overall = (total.block or 0) / known if known else 0.0
 
     def smoothed(parent: Column) -> Column:
-        return (F.col("block") + PRIOR * parent) / (F.col("allow") + F.col("block") + PRIOR)
+        known_here = F.col("allow") + F.col("block")
+        return F.when(known_here == 0, F.lit(overall)).otherwise((F.col("block") + PRIOR * parent) / (known_here + PRIOR))
 
     rows = urls.withColumn("segments", _segments(F.col("path"))).withColumn("template", F.col("host"))
     hosts = rows.groupBy("template").agg(*sums).withColumn("rate", smoothed(F.lit(overall)))
@@ -136,11 +141,12 @@ def template_tree(urls: DataFrame) -> DataFrame:
             .select("template", "rate", "allow", "block")
         )
         level += 1
-        ends = placed.where(F.size("segments") <= level).drop("segments", "parent")
-        ended.append(ends.join(nodes.select("template", "rate"), "template"))
+        ends = placed.where(F.size("segments") <= level).drop("segments", "parent", "allow", "block")
+        ended.append(ends.join(nodes.select("template", "rate", (F.col("allow") + F.col("block")).alias("labels")), "template"))
         rows = placed.where(F.size("segments") > level).drop("parent")
     if not ended:
-        return rows.drop("segments").join(nodes.select("template", "rate"), "template")
+        nothing = nodes.select("template", "rate", (F.col("allow") + F.col("block")).alias("labels"))
+        return rows.drop("segments", "allow", "block").join(nothing, "template")
     return reduce(DataFrame.unionByName, ended)
 
 
@@ -149,8 +155,8 @@ def judged_urls(pages: DataFrame, rules: list[UrlRule], url_column: str = "url")
 
     The rule that fits decides; rules are tried longest first. The urls that a rule
     decides are the labels of the template tree, which decides the others: ``block`` where
-    the template's smoothed rate of blocked labels reaches ``REJECT``. Every distinct
-    host and path is judged once. A null url, or one without ``://``, has empty host and
+    the template holds labels and its smoothed rate of blocked ones reaches ``REJECT``. Every
+    distinct host and path goes through the tree once, with its count. A null url, or one without ``://``, has empty host and
     path and is judged like any other; repeated rows stay rows; other columns are
     carried in ``row``; no rows give no rows; no labels block nothing.
     """
@@ -159,9 +165,8 @@ def judged_urls(pages: DataFrame, rules: list[UrlRule], url_column: str = "url")
         "ruled", matched_rule(F.col("host"), F.col("path"), rules)
     )
     label = (F.col("ruled.verdict") == "block").cast("int")
-    tree = template_tree(parsed.select("host", "path", label.alias("label")))
-    judged = tree.groupBy("host", "path").agg(F.first("template").alias("template"), F.first("rate").alias("rate"))
-    own = F.when(F.col("rate") >= REJECT, "block").otherwise("allow")
-    return parsed.join(judged, ["host", "path"]).select(
+    judged = template_tree(parsed.groupBy("host", "path", label.alias("label")).agg(F.count("*").alias("n")))
+    own = F.when((F.col("labels") > 0) & (F.col("rate") >= REJECT), "block").otherwise("allow")
+    return parsed.join(judged.select("host", "path", "template", "rate", "labels"), ["host", "path"]).select(
         "row", "host", "path", F.col("ruled.rule").alias("rule"), F.coalesce("ruled.verdict", own).alias("verdict"), "template"
     )

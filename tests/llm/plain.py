@@ -251,3 +251,55 @@ def components(count, pairs):
         a, b = sorted((find(a), find(b)))
         least[b] = a
     return {k: find(k) for k in range(count)}
+
+
+def templates(rows, depth, variable, distance, prior):
+    """``(template, rate, labels)`` of every ``(host, path, label)``, grown level by level."""
+
+    def counted(ks):
+        return sum(rows[k][2] == 0 for k in ks), sum(rows[k][2] == 1 for k in ks)
+
+    def smoothed(ks, parent):
+        allow, block = counted(ks)
+        return (block + prior * parent) / (allow + block + prior) if allow + block else overall
+
+    def by_template(at):
+        groups = {}
+        for k, template in at.items():
+            groups.setdefault(template, []).append(k)
+        return groups
+
+    allow, block = counted(range(len(rows)))
+    overall = block / (allow + block) if allow + block else 0.0
+    segments = [[s for s in path.split("/") if s] + ["$"] for _, path, _ in rows]
+    at = {k: host for k, (host, _, _) in enumerate(rows)}
+    rate = {host: smoothed(ks, overall) for host, ks in by_template(at).items()}
+    found, level = {}, 0
+    while at:
+        following = {}
+        for template, ks in by_template(at).items():
+            allow, block = counted(ks)
+            branches = {}
+            for k in ks:
+                if level >= depth and not (allow and block) and len(segments[k]) > level + 1:
+                    segments[k] = segments[k][:level] + ["**"]
+                own = segments[k][level]
+                branches.setdefault("*" if re.search(variable, own) else own, []).append(k)
+            for own, members in branches.items():
+                a, b = counted(members)
+                n, rest = a + b, allow + block - a - b
+                apart = False
+                if n and rest:
+                    pooled = block / (n + rest)
+                    error = (pooled * (1 - pooled) * (1 / n + 1 / rest)) ** 0.5
+                    apart = abs(b / n - (block - b) / rest) > distance * error
+                named = own != "*" and (own in ("$", "**") or apart)
+                following |= {k: f"{template}/{own if named else '*'}" for k in members}
+        for template, ks in by_template(following).items():
+            rate[template] = smoothed(ks, rate[template.rsplit("/", 1)[0]])
+            for k in ks:
+                if len(segments[k]) == level + 1:
+                    found[k] = (template, rate[template], sum(counted(ks)))
+        level += 1
+        at = {k: t for k, t in following.items() if k not in found}
+    return [found[k] for k in range(len(rows))]

@@ -332,6 +332,31 @@ def test_small_and_deep_branches_stand_apart(spark):
     assert rate["d", "/a/b/c/d/e/f/g/bad/0"] > 0.6 > rate["d", "/a/b/c/d/e/f/g/good/0"]
 
 
+def test_tree_is_the_plain_one(spark):
+    rng = random.Random(11)
+    words = ["de", "fr", "a", "b", "12", "2024-01-02", "*", "$", "x.html"]
+    rows = []
+    for _ in range(600):
+        path = "".join("/" + rng.choice(words) for _ in range(rng.randrange(9)))
+        odds = 0.9 if "/de" in path else 0.1
+        rows.append((rng.choice("gh"), path, rng.choice([None, int(rng.random() < odds)])))
+    rows += [("none", "/x", None)]
+    tree = url_filter.template_tree(spark.createDataFrame(rows, "host string, path string, label int"))
+    got = Counter((r.host, r.path, r.label, r.template, round(r.rate, 9), r.labels) for r in tree.collect())
+    want = plain.templates(rows, url_filter.DEPTH, url_filter.VARIABLE, url_filter.DISTANCE, url_filter.PRIOR)
+    assert got == Counter((*row, t, round(rate, 9), n) for row, (t, rate, n) in zip(rows, want))
+
+
+def test_sections_without_labels_are_allowed(spark):
+    rows = [f"http://h.com/de/{k}" for k in range(40)] + [f"http://h.com/other/{k}" for k in range(40)] * 2
+    rows += [f"http://h.com/fr/{k}" for k in range(20)]
+    pages = spark.createDataFrame([(k, u) for k, u in enumerate(rows)], "page_id bigint, url string")
+    found = url_filter.judged_urls(pages, RULES).select("row.url", "verdict").collect()
+    assert Counter(r.url for r in found) == Counter(rows)
+    assert {r.verdict for r in found if "/de/" in r.url} == {"block"}
+    assert {r.verdict for r in found if "/other/" in r.url} == {"allow"}
+
+
 def test_permutation():
     import numpy as np
 
