@@ -12,7 +12,7 @@ from conftest import edited_pairs
 from pyspark.sql import functions as F
 
 from linetrace.functions.text import KEYWORDS, PUNCTUATION
-from linetrace.operators import assign, context
+from linetrace.operators import assign, context, thin
 from linetrace.plans.best import map_best
 from linetrace.plans.hybrid import map_hybrid
 from linetrace.plans.ranges import map_ranges
@@ -207,6 +207,51 @@ def test_greedy_assignment(spark, fold_edges):
     assert got == expected
 
 
+def test_greedy_staircase(spark, monkeypatch):
+    """Every edge waits for the one before: rounds of mutual best edges alone would be 5,000."""
+    n, rounds = 5000, []
+    mutual = assign._mutual_best
+    monkeypatch.setattr(assign, "_mutual_best", lambda edges: rounds.append(1) or mutual(edges))
+    number = F.col("id").cast("int")
+    frame = spark.range(2 * n).select(
+        F.lit("p").alias("pair_id"),
+        ((number + 1) / 2).cast("int").alias("old_line"),
+        (number / 2).cast("int").alias("new_line"),
+        (1 - number / (4.0 * n)).alias("score"),
+    )
+    got = {(r.old_line, r.new_line) for r in assign.assign_greedy(frame, 0.0, 2000).collect()}
+    assert got == {(k, k) for k in range(n)}
+    assert 0 < len(rounds) < 20
+
+
+@pytest.mark.parametrize("fold_edges", [1, 3, 10, 10_000])
+def test_thinning_in_rounds(spark, fold_edges):
+    rng = random.Random(fold_edges)
+    rows, expected = [], {}
+    for group in range(6):
+        sides = [[rng.randrange(9) for _ in range(rng.randrange(1, 25))] for _ in range(2)]
+        at = [{t: [k for k, x in enumerate(side, 1) if x == t] for t in set(side)} for side in sides]
+        lines = []
+        for a, olds in at[0].items():
+            for b, news in at[1].items():
+                d = 0.0 if a == b else rng.choice([0.1, 0.2, 0.3, None])
+                if d is not None:
+                    rows.append(("p", group, group, 100 * group, olds, news, d))
+                    lines += [(d, i + j, i, j) for i in olds for j in news]
+        bound = (0, 0)
+        for d, _, i, j in sorted(lines):
+            if i > bound[0] and j > bound[1]:
+                bound = (i, j)
+                expected[100 * group + i] = (100 * group + j, 1 - d)
+    frame = spark.createDataFrame(
+        rows, "pair_id string, old_range int, new_range int, base int, old_at array<int>, new_at array<int>, d double"
+    )
+    for side in ("old_at", "new_at"):
+        frame = frame.withColumn(side, F.expr(f"transform({side}, line -> line + base)"))
+    got = {r.old_line: (r.new_line, r.score) for r in thin.thin(frame.drop("base"), fold_edges).collect()}
+    assert got == expected
+
+
 def test_normal_and_context(make_lines):
     lines = make_lines({"p": (["Foo_Bar( a.b );", ");", "}", "x", "y", "z", "w"], [])})
     pre = context.normal_lines(lines)
