@@ -274,6 +274,40 @@ def test_personal_data_adds_common_other_forms(spark):
     assert {r.text: r.out for r in got.collect() if not r.base} == {texts[300]: "please call phone [phone] today", texts[600]: texts[600]}
 
 
+def _card(rng, good):
+    digits = [rng.randrange(10) for _ in range(15)]
+    doubled = [d * 2 - 9 * (d > 4) if k % 2 == 0 else d for k, d in enumerate(digits)]
+    last = -sum(doubled) % 10
+    return "".join(map(str, [*digits, last if good else (last + rng.randrange(1, 10)) % 10]))
+
+
+def test_personal_data_planted_forms(spark):
+    """Other forms are added, look-alikes are not."""
+    rng = random.Random(15)
+    part = lambda: rng.randrange(1, 255)
+    name = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    phone = lambda: f"({rng.randrange(200, 999)}) 555-{rng.randrange(1000, 9999)}"
+    dotted = lambda c: ".".join(c[k : k + 4] for k in (0, 4, 8, 12))
+    base = [lambda: f"mail {name()}@{name()}.example.com now", lambda: f"host {part()}.{part()}.{part()}.{part()} up",
+            lambda: f"pay card {_card(rng, True)} at once", lambda: f"call phone +1 {phone()} today"]
+    other = [lambda: f"mail {name()} (at) {name()} (dot) com now", lambda: f"host {part()} . {part()} . {part()} . {part()} up",
+             lambda: f"pay card {dotted(_card(rng, True))} at once", lambda: f"{_card(rng, True)} 17 is paid by card",
+             lambda: f"call phone 00 1 {phone()} today"]
+    decoy = [lambda: f"we met {name()} at {name()}.end of day", lambda: f"build {rng.randrange(256, 999)}.{rng.randrange(256, 999)}.{part()}.{part()} out",
+             lambda: f"pay card {dotted(_card(rng, False))} at once", lambda: f"order {_card(rng, False)} sent", lambda: f"part {rng.randrange(10**9, 10**10)} left"]
+    made = [(kind, forms[k]()) for _ in range(150) for kind, forms in enumerate((base, other, decoy)) for k in range(len(forms))]
+    found = pii.personal_data(spark.createDataFrame(made, "form int, text string").repartition(3))
+    got = found.select("row.form", "row.text", (F.size("spans") - F.size("base")).alias("added")).collect()
+    caught = [r.added > 0 for r in got if r.form == 1]
+    decoys = [r.added > 0 for r in got if r.form == 2]
+    assert len(caught) == 750 and sum(caught) >= 0.9 * len(caught)
+    assert sum(decoys) < 0.05 * len(decoys)
+    # The model follows the content, not how the rows are dealt out.
+    again = pii.personal_data(spark.createDataFrame(made[::-1], "form int, text string").repartition(5))
+    as_set = lambda df: {(r.text, r.spans) for r in df.select("row.text", pii.span_list("spans").alias("spans")).collect()}
+    assert as_set(found) == as_set(again)
+
+
 def test_toxicity(spark, odd, none):
     rng = random.Random(6)
     words = ["river", "stone", "cloud", "house", "green", "paper"]
