@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
@@ -24,7 +25,7 @@ from linetrace.llm import (
     url_filter,
 )
 from linetrace.llm.common import whole
-from linetrace.session import checkpointed
+from linetrace.session import checkpointed, scratch_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -162,7 +163,9 @@ def op6_training_order(spark, sf_dir):
     ordered = training_order.training_order(
         table(spark, sf_dir, "documents"), VOCABULARY, WORD_PATTERN, END_OF_TEXT
     )
-    return ordered.select("shard", "slot", "sequence", "n_tokens", F.crc32("tokens").alias("tokens_crc32"))
+    folder = f"{scratch_folder(spark)}/shards-{uuid.uuid4().hex}"
+    training_order.write_shards(ordered, folder)
+    return training_order.written_sequences(spark, folder)
 
 
 @query

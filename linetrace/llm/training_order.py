@@ -3,15 +3,15 @@
 from __future__ import annotations
 
 import base64
+import glob
 import json
-import os
-import uuid
 from collections.abc import Iterator
 from math import isqrt
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from linetrace.llm.common import send_by_value, whole
@@ -22,8 +22,9 @@ send_by_value(__name__)
 LENGTH = 1024
 KEY = 20240607
 ROUNDS = 6
-#: Sequences of a shard.
-SHARD_ROWS = 4096
+#: Sequences of a shard, and the shards one task writes at most.
+SHARD_ROWS = 1 << 14
+TASK_SHARDS = 32
 #: Words whose tokens a worker remembers before it starts anew.
 MEMORY = 1 << 20
 TOKENS = "<u2"
@@ -98,7 +99,8 @@ def sequences(documents: DataFrame, path: str, pattern: str, end: int, text_colu
 
     Each task joins the tokens of its documents, an end mark after each, and cuts them;
     its last sequence is filled up with end marks, and ``n_tokens`` counts those before.
-    Null and empty texts are an end mark alone.
+    Null and empty texts are an end mark alone. Documents are joined as the input's tasks hold them: another layout of
+    its files gives other sequences.
     """
     stride = length * np.dtype(TOKENS).itemsize
 
@@ -137,6 +139,14 @@ def sequences(documents: DataFrame, path: str, pattern: str, end: int, text_colu
     return texts.mapInArrow(cut, "part int, i bigint, n_tokens int, tokens binary")
 
 
+def _slot(number: Column, count: int, key: int) -> Column:
+    @F.pandas_udf("bigint")
+    def slots(numbers: pd.Series) -> pd.Series:
+        return pd.Series(permuted(numbers.to_numpy(), count, key))
+
+    return slots(number)
+
+
 def training_order(
     documents: DataFrame,
     path: str,
@@ -147,84 +157,83 @@ def training_order(
     shard_rows: int = SHARD_ROWS,
     key: int = KEY,
 ) -> DataFrame:
-    """``(shard, slot, sequence, n_tokens, tokens)``: every sequence at its global slot.
+    """``(shard, slot, sequence, n_tokens, tokens)``: every sequence with its global slot.
 
-    Sequences are numbered through all tasks by prefix sums of the tasks' counts; the keyed
+    Sequences are numbered through all tasks by prefix sums of the tasks' counts, a table of one row a task; the keyed
     permutation gives the slot, without gaps from 0. Shard k holds the slots from
-    ``k * shard_rows`` on, sorted, in one task. The sequences are written once, so the
-    numbers stay when a task is lost. Repeated rows are repeated; no rows give none;
-    other columns are not looked at.
+    ``k * shard_rows`` on. The sequences are written once, so the numbers stay when a task is lost. Repeated rows are
+    repeated; no rows give none; other columns are not looked at.
     """
     cut = checkpointed(sequences(documents, path, pattern, end, text_column, length))
-    # One row for each task of the tokenizing stage.
-    totals = sorted(tuple(r) for r in cut.groupBy("part").count().collect())
-    offsets, n_rows = {}, 0
-    for part, count in totals:
-        offsets[part], n_rows = n_rows, n_rows + count
-
-    def slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            part, i = batch.column("part").to_numpy(), batch.column("i").to_numpy()
-            number = np.array([offsets[p] for p in part.tolist()], np.int64) + i
-            slot = permuted(number, n_rows, key)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array((slot // shard_rows).astype(np.int32)), pa.array(slot), pa.array(number),
-                 batch.column("n_tokens"), batch.column("tokens")],
-                ["shard", "slot", "sequence", "n_tokens", "tokens"],
-            )
-
-    placed = cut.mapInArrow(slots, "shard int, slot bigint, sequence bigint, n_tokens int, tokens binary")
-    shards = max(1, -(-n_rows // shard_rows))
-    return placed.repartitionById(shards, "shard").sortWithinPartitions("slot")
+    sizes = cut.groupBy("part").count()
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    begins = checkpointed(sizes.select("part", "count", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("begin")))
+    n_rows = begins.agg(F.coalesce(F.sum("count"), F.lit(0)).alias("n")).first().n
+    placed = cut.join(begins, "part").withColumn("sequence", F.col("begin") + F.col("i"))
+    placed = placed.withColumn("slot", _slot(F.col("sequence"), n_rows, key))
+    shard = F.floor(F.col("slot") / shard_rows).cast("int").alias("shard")
+    return placed.select(shard, "slot", "sequence", "n_tokens", "tokens")
 
 
 def write_shards(ordered: DataFrame, folder: str, length: int = LENGTH, shard_rows: int = SHARD_ROWS) -> None:
-    """Write ``shard-00000.bin, ...`` and ``meta.json`` into a folder all machines mount.
+    """Write ``shards``, ``index`` and ``meta`` below a folder of any file system Spark writes to.
 
-    A shard's file has ``length`` tokens of two bytes for each slot and nothing else. It
-    appears under its name when it is complete, so a repeated task replaces it by the
-    same bytes.
+    ``shards/shard=K`` holds one file: for each slot ``length`` tokens of two bytes and a byte that ends the
+    record, so places are multiples of one stride. ``index`` is a table of ``shard, slot, sequence, n_tokens``.
+    A task sorts and writes a range of up to ``TASK_SHARDS`` shards; its files count when it is
+    complete, so a lost task is repeated. No rows write no files.
     """
-    os.makedirs(folder, exist_ok=True)
-
-    def write(rows) -> None:
-        file, name, shard = None, "", None
-
-        def close() -> None:
-            if file is not None:
-                file.close()
-                os.replace(name, f"{folder}/shard-{shard:05d}.bin")
-
-        for row in rows:
-            if row.shard != shard:
-                close()
-                shard = row.shard
-                name = f"{folder}/.shard-{shard:05d}-{uuid.uuid4().hex}"
-                file = open(name, "wb")  # noqa: SIM115
-            file.write(row.tokens)
-        close()
-
-    ordered.select("shard", "slot", "tokens").foreachPartition(write)
-    with open(f"{folder}/meta.json", "w") as file:
-        json.dump({"length": length, "shard_rows": shard_rows, "type": TOKENS}, file)
+    spark = ordered.sparkSession
+    meta = {"length": length, "shard_rows": shard_rows, "type": TOKENS}
+    index = ordered.select("shard", "slot", "sequence", "n_tokens")
+    index.write.parquet(f"{folder}/index")
+    shards = spark.read.schema(index.schema).parquet(f"{folder}/index").agg(F.max("shard").alias("last")).first().last
+    shards = 1 if shards is None else shards + 1
+    tasks = min(shards, max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-shards // TASK_SHARDS)))
+    each = -(-shards // tasks)
+    ranges = ordered.select("shard", "slot", F.col("tokens").cast("string").alias("value"))
+    ranges = ranges.repartitionById(-(-shards // each), F.floor(F.col("shard") / each).cast("int"))
+    ranges = ranges.sortWithinPartitions("shard", "slot").select("shard", "value")
+    ranges.write.partitionBy("shard").option("compression", "none").option("lineSep", "\n").text(f"{folder}/shards")
+    spark.createDataFrame([(json.dumps(meta),)], "value string").coalesce(1).write.text(f"{folder}/meta")
+
+
+def written_sequences(spark: SparkSession, folder: str) -> DataFrame:
+    """``(shard, slot, sequence, n_tokens, tokens_crc32)`` with the CRC of what the files hold at each slot.
+
+    A shard is read as one value. The result is empty if nothing was written.
+    """
+    meta = json.loads(spark.read.text(f"{folder}/meta").first().value)
+    stride, per = meta["length"] * np.dtype(meta["type"]).itemsize + 1, meta["shard_rows"]
+    index = spark.read.schema("shard int, slot bigint, sequence bigint, n_tokens int").parquet(f"{folder}/index")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").option("recursiveFileLookup", "true")
+    files = files.load(f"{folder}/shards").where(F.col("length") > 0)
+    shard = F.regexp_extract("path", "shard=([0-9]+)/", 1).cast("int")
+    crcs = F.expr(
+        f"transform(sequence(0, cast(length(content) div {stride} as int) - 1),"
+        f" k -> crc32(substring(content, k * {stride} + 1, {stride - 1})))"
+    )
+    found = files.select(shard.alias("shard"), crcs.alias("crcs")).select("shard", F.posexplode("crcs").alias("place", "tokens_crc32"))
+    found = found.select((F.col("shard").cast("bigint") * per + F.col("place")).alias("slot"), "tokens_crc32")
+    return index.join(found, "slot").select("shard", "slot", "sequence", "n_tokens", "tokens_crc32")
 
 
 def read_slots(folder: str, start: int, count: int) -> np.ndarray:
-    """``count`` sequences from slot ``start`` on, one row each, where there are so many."""
-    with open(f"{folder}/meta.json") as file:
+    """``count`` sequences from slot ``start`` on, one row each, where there are so many, from a mounted folder."""
+    with open(glob.glob(f"{folder}/meta/part-*")[0]) as file:
         meta = json.load(file)
     length, per = meta["length"], meta["shard_rows"]
-    stride, out = length * np.dtype(meta["type"]).itemsize, []
+    stride, out = length * np.dtype(meta["type"]).itemsize + 1, []
     while count > 0:
         shard, place = divmod(start, per)
-        name = f"{folder}/shard-{shard:05d}.bin"
-        if not os.path.exists(name):
+        names = glob.glob(f"{folder}/shards/shard={shard}/part-*")
+        if not names:
             break
-        with open(name, "rb") as file:
+        with open(names[0], "rb") as file:
             file.seek(place * stride)
-            block = np.frombuffer(file.read(min(count, per - place) * stride), meta["type"]).reshape(-1, length)
+            block = np.frombuffer(file.read(min(count, per - place) * stride), np.uint8).reshape(-1, stride)
         if not len(block):
             break
-        out.append(block)
+        out.append(block[:, :-1].copy().view(meta["type"]))
         start, count = start + len(block), count - len(block)
     return np.concatenate(out) if out else np.empty((0, length), meta["type"])

@@ -3,6 +3,7 @@
 import hashlib
 import os
 import random
+import zlib
 import sys
 from collections import Counter, defaultdict
 
@@ -424,7 +425,16 @@ def test_training_order(odd, none, tmp_path):
     by_slot = {r.slot: r.tokens for r in rows}
     got = training_order.read_slots(str(tmp_path), 45, 20)
     assert [x.tobytes() for x in got] == [by_slot[s] for s in range(45, min(65, len(rows)))]
-    assert training_order.training_order(none, queries.VOCABULARY, queries.WORD_PATTERN, queries.END_OF_TEXT).count() == 0
+    written = training_order.written_sequences(odd.sparkSession, str(tmp_path))
+    assert sorted((r.shard, r.slot, r.sequence, r.n_tokens, r.tokens_crc32) for r in written.collect()) == sorted(
+        (r.shard, r.slot, r.sequence, r.n_tokens, zlib.crc32(r.tokens)) for r in rows
+    )
+    assert len(list((tmp_path / "shards").glob("shard=*/part-*"))) == -(-len(rows) // 50)
+    empty = training_order.training_order(none, queries.VOCABULARY, queries.WORD_PATTERN, queries.END_OF_TEXT)
+    assert empty.count() == 0
+    training_order.write_shards(empty, str(tmp_path / "none"))
+    assert training_order.written_sequences(odd.sparkSession, str(tmp_path / "none")).count() == 0
+    assert len(training_order.read_slots(str(tmp_path / "none"), 0, 5)) == 0
 
 
 @pytest.mark.parametrize("crowd", [64, 1])
