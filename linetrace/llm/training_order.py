@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import glob
 import json
+import zlib
 from collections.abc import Iterator
 from math import isqrt
 
@@ -206,15 +207,19 @@ def written_sequences(spark: SparkSession, folder: str) -> DataFrame:
     meta = json.loads(spark.read.text(f"{folder}/meta").first().value)
     stride, per = meta["length"] * np.dtype(meta["type"]).itemsize + 1, meta["shard_rows"]
     index = spark.read.schema("shard int, slot bigint, sequence bigint, n_tokens int").parquet(f"{folder}/index")
+
+    def crcs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for shard, content in zip(batch.column(0).to_pylist(), batch.column(1)):
+                records = memoryview(content.as_buffer())
+                found = [zlib.crc32(records[at : at + stride - 1]) for at in range(0, len(records), stride)]
+                slots = shard * per + np.arange(len(found), dtype=np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(slots), pa.array(found, pa.int64())], ["slot", "tokens_crc32"])
+
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").option("recursiveFileLookup", "true")
     files = files.load(f"{folder}/shards").where(F.col("length") > 0)
-    shard = F.regexp_extract("path", "shard=([0-9]+)/", 1).cast("int")
-    crcs = F.expr(
-        f"transform(sequence(0, cast(length(content) div {stride} as int) - 1),"
-        f" k -> crc32(substring(content, k * {stride} + 1, {stride - 1})))"
-    )
-    found = files.select(shard.alias("shard"), crcs.alias("crcs")).select("shard", F.posexplode("crcs").alias("place", "tokens_crc32"))
-    found = found.select((F.col("shard").cast("bigint") * per + F.col("place")).alias("slot"), "tokens_crc32")
+    shard = F.regexp_extract("path", "shard=([0-9]+)/", 1).cast("bigint").alias("shard")
+    found = files.select(shard, "content").mapInArrow(crcs, "slot bigint, tokens_crc32 bigint")
     return index.join(found, "slot").select("shard", "slot", "sequence", "n_tokens", "tokens_crc32")
 
 
