@@ -24,6 +24,11 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def text_key(text: Column) -> Column:
+    """The SHA-256 of a text: 32 bytes that stand for it where texts are only compared for equality."""
+    return F.unhex(F.sha2(text, 256))
+
+
 def _collapse(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, WHITE, " "))
 
@@ -181,7 +186,7 @@ def bag(tokens: Column) -> Column:
         return let(starts, lambda s: counts(ordered, s))
 
     return F.when(F.size(tokens) == 0, F.create_map().cast("map<string,int>")).otherwise(
-        let(F.array_sort(tokens), from_ordered)
+        let(F.sort_array(tokens), from_ordered)
     )
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from linetrace.functions.text import text_key
 from linetrace.session import checkpointed, numbered
 
 # Rows of one group are ordered inside buckets of this many consecutive numbers,
@@ -75,7 +76,7 @@ def _one_text_each(documents: DataFrame) -> DataFrame:
 def pair_votes(documents: DataFrame) -> DataFrame:
     """``doc_id, old_id, votes``: lines whose last earlier holder is document ``old_id``.
 
-    Every non-blank line of a document counts once, compared as a whole text. Documents are
+    Every non-blank line of a document counts once; lines meet by the key of the whole text. Documents are
     ordered by id; ids that are no whole numbers get one, their place in the order.
     Of an id on several rows the first text counts, so no document precedes itself.
     """
@@ -84,6 +85,7 @@ def pair_votes(documents: DataFrame) -> DataFrame:
     held = texts.select("doc_id", F.explode(F.array_distinct(F.split("text", "\n"))).alias("line")).where(
         F.col("line").rlike(r"[^\x09-\x0D\x20]")
     )
+    held = held.withColumn("line", text_key(F.col("line")))
     if whole:
         chained = chain_neighbours(held, ["line"], "doc_id").where("previous is not null")
         return chained.groupBy("doc_id", F.col("previous").alias("old_id")).agg(F.count("*").alias("votes"))
@@ -109,12 +111,10 @@ def document_versions(documents: DataFrame) -> DataFrame:
     """
     pairs = checkpointed(version_pairs(documents))
     texts = _one_text_each(documents)
-    name = F.col("pair.doc_id").cast("string").alias("pair_id")
-    new = texts.alias("d").join(pairs.alias("pair"), F.col("d.doc_id") == F.col("pair.doc_id"))
-    old = texts.alias("d").join(pairs.alias("pair"), F.col("d.doc_id") == F.col("pair.old_id"))
-    return new.select(name, F.lit("new").alias("side"), "text").union(
-        old.select(name, F.lit("old").alias("side"), "text")
-    )
+    name = F.col("doc_id").cast("string").alias("pair_id")
+    new = pairs.select("doc_id", name, F.lit("new").alias("side"))
+    old = pairs.select(F.col("old_id").alias("doc_id"), name, F.lit("old").alias("side"))
+    return texts.join(new.unionByName(old), "doc_id").select("pair_id", "side", "text")
 
 
 def conversation_versions(conversations: DataFrame) -> DataFrame:
