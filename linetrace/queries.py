@@ -188,10 +188,10 @@ def context_lines(spark, sf_dir):
 
 @query
 def range_words(spark, sf_dir):
-    words = lines_of(spark, sf_dir).select(
-        "pair_id", "side", "line_no", F.explode(T.words(F.col("text"))).alias("word")
-    )
-    return words.groupBy("pair_id", "side", "line_no", "word").agg(F.count(F.lit(1)).alias("n"))
+    """The words of a line with their counts, taken where the line lies."""
+    counts = F.explode(T.bag(T.words(F.col("text")))).alias("word", "n")
+    words = lines_of(spark, sf_dir).select("pair_id", "side", "line_no", counts)
+    return words.withColumn("n", F.col("n").cast("bigint"))
 
 
 @query
