@@ -73,3 +73,20 @@ def test_key_is_of_the_whole_text(spark):
     texts = ["", "a", "A", "a ", "é", "é", "x" * 5000, "x" * 5001]
     keys = spark.createDataFrame([(t,) for t in texts], "t string").select(T.text_key(F.col("t")).alias("k")).collect()
     assert len({bytes(r.k) for r in keys}) == len(texts) and all(len(r.k) == 32 for r in keys)
+
+
+def test_contexts_move_as_text(spark, make_lines):
+    from linetrace.operators import candidates, context
+
+    lines = make_lines({"p": (["a b", "c d", "e f"], ["a b x", "c d y", "g"])})
+    features = context.structured(context.context_of(context.normal_lines(lines)))
+    old, new = features.where("side = 'old'"), features.where("side = 'new'")
+    met = candidates.candidate_features(old, new, ["line_no", "ctx"])
+    plan = met._jdf.queryExecution().optimizedPlan().toString()
+    # No count of words lies below the last exchange of either side.
+    below = plan[plan.index("RepartitionByExpression") :]
+    assert "old_bag" not in below.split("Project", 1)[0]
+    assert all("map_from_arrays" not in part.split("\n", 1)[1] for part in plan.split("RepartitionByExpression")[-1:])
+    rows = {(r.old_line, r.new_line): (r.old_bag, r.new_bag) for r in met.collect()}
+    assert len(rows) == 9
+    assert rows[1, 2] == ({"c": 1, "d": 1, "e": 1, "f": 1}, {"a": 1, "b": 1, "x": 1, "g": 1})
