@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import glob
 import json
+import re
 import zlib
 from collections.abc import Iterator
 from math import isqrt
@@ -26,8 +27,10 @@ ROUNDS = 6
 #: Sequences of a shard, and the shards one task writes at most.
 SHARD_ROWS = 1 << 14
 TASK_SHARDS = 32
-#: Words whose tokens a worker remembers before it starts anew.
+#: Words, and pieces between blanks, whose tokens a task remembers before it starts anew.
 MEMORY = 1 << 20
+#: A blank before which every word ends: what is no white space follows.
+BLANK = re.compile(r"\x20(?=\S)")
 TOKENS = "<u2"
 
 
@@ -69,18 +72,21 @@ class Tokenizer:
 
     ``path`` names a vocabulary of lines ``base64 rank`` and ``end`` the free id that ends a
     document. The pattern cuts a text into words that are encoded one by one, so a
-    remembered word has the tokens it would get in the text.
+    remembered word has the tokens it would get in the text. ``blanks`` says that in the pattern a
+    blank stands only at the start of a word or among white space, and that such runs leave the
+    blank before a word to it: then no word holds a blank and something else behind it, and
+    what stands between blanks is remembered as a whole.
     """
 
-    def __init__(self, path: str, pattern: str, end: int):
+    def __init__(self, path: str, pattern: str, end: int, blanks: bool = True):
         import regex
         import tiktoken
 
         with open(path, "rb") as file:
             ranks = {base64.b64decode(word): int(rank) for word, rank in map(bytes.split, file)}
         self.encoding = tiktoken.Encoding("vocabulary", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-        self.words, self.memory = regex.compile(pattern), {}
-        self.end = np.array([end], TOKENS).tobytes()
+        self.words, self.memory, self.pieces = regex.compile(pattern), {}, {}
+        self.end, self.blanks = np.array([end], TOKENS).tobytes(), blanks
 
     def _word(self, word: str) -> bytes:
         tokens = np.array(self.encoding.encode_ordinary(word), TOKENS).tobytes()
@@ -89,10 +95,31 @@ class Tokenizer:
         self.memory[word] = tokens
         return tokens
 
+    def _words(self, text: str) -> bytes:
+        known = self.memory.get
+        return b"".join([known(w) or self._word(w) for w in self.words.findall(text)])
+
+    def _piece(self, piece: str) -> bytes | None:
+        """The tokens of a piece and the blank before it; none if the blank belongs to more white space."""
+        if not piece or piece[0].isspace():
+            return None
+        tokens = self._words(" " + piece)
+        if len(self.pieces) >= MEMORY:
+            self.pieces.clear()
+        self.pieces[piece] = tokens
+        return tokens
+
     def encode(self, text: str) -> bytes:
         """The tokens of the whole text and the end mark, two bytes each."""
-        known = self.memory.get
-        return b"".join([known(w) or self._word(w) for w in self.words.findall(text)]) + self.end
+        if not self.blanks:
+            return self._words(text) + self.end
+        known = self.pieces.get
+        first, *others = text.split(" ")
+        tokens = [known(p) or self._piece(p) for p in others]
+        if None in tokens:
+            first, *others = BLANK.split(text)
+            tokens = [known(p) or self._piece(p) for p in others]
+        return self._words(first) + b"".join(tokens) + self.end
 
 
 def sequences(documents: DataFrame, path: str, pattern: str, end: int, text_column: str = "text", length: int = LENGTH) -> DataFrame:

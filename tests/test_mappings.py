@@ -11,6 +11,7 @@ import pytest
 from conftest import edited_pairs
 from pyspark.sql import functions as F
 
+from linetrace.functions import gestalt
 from linetrace.functions.text import KEYWORDS, PUNCTUATION
 from linetrace.operators import assign, context, thin
 from linetrace.plans.best import map_best
@@ -276,3 +277,28 @@ def test_context_over_blocks(spark, make_lines, block_lines):
                 near = kept[max(k - 4, 0) : k][::-1] + kept[k + 1 : k + 5]
                 expected[pair, side, number] = " ".join(text for _, text in near)
     assert got == expected
+
+
+def test_common_subsequence_reaches():
+    """The bound on the gestalt ratio is the longest common subsequence, also over borders of looks."""
+    rng = random.Random(7)
+    for _ in range(200):
+        a, b = ("".join(rng.choice("abcé\U0001f600") for _ in range(rng.randrange(1, 150))) for _ in range(2))
+        row = [0] * (len(b) + 1)
+        for x in a:
+            last = [0]
+            for j, y in enumerate(b):
+                last.append(row[j] + 1 if x == y else max(row[j + 1], last[-1]))
+            row = last
+        for least in (0, row[-1] - 1, row[-1], row[-1] + 1):
+            assert gestalt.common_reaches(a, gestalt.places(b), len(b), least) == (row[-1] >= least)
+
+
+def test_ratios_of_mixed_up_texts_are_not_computed(spark):
+    """Few edits by distance, but no common subsequence that is long enough: null, and the ratio otherwise."""
+    rows = [("ab" * 40, "ba" * 40), ("abcd" * 20, "dcba" * 20), ("the same line", "the same lines")]
+    ratio = gestalt.gestalt_ratio_from(0.75, "old", "new").alias("ratio")
+    found = [r.ratio for r in spark.createDataFrame(rows, "old string, new string").coalesce(1).select(ratio).collect()]
+    exact = [SequenceMatcher(None, a, b).ratio() for a, b in rows]
+    assert found[1] is None and exact[1] < 0.75
+    assert [found[0], found[2]] == [exact[0], exact[2]]
