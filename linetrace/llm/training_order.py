@@ -6,6 +6,7 @@ import base64
 import glob
 import json
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 from math import isqrt
@@ -13,6 +14,7 @@ from math import isqrt
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -27,11 +29,20 @@ ROUNDS = 6
 #: Sequences of a shard, and the shards one task writes at most.
 SHARD_ROWS = 1 << 14
 TASK_SHARDS = 32
-#: Words, and pieces between blanks, whose tokens a task remembers before it starts anew.
-MEMORY = 1 << 20
+#: Words, and pieces of up to ``PIECE`` characters, whose tokens a task remembers before it starts anew.
+MEMORY, PIECE = 1 << 19, 64
+#: Texts that are encoded together.
+TEXTS = 512
 #: A blank before which every word ends: what is no white space follows.
 BLANK = re.compile(r"\x20(?=\S)")
 TOKENS = "<u2"
+#: How the sequences are written: tokens hardly repeat within small pages.
+DENSE = {
+    "compression": "zstd",
+    "parquet.compression.codec.zstd.level": "9",
+    "parquet.page.size": str(1 << 23),
+    "parquet.enable.dictionary": "false",
+}
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -68,14 +79,13 @@ def permuted(index: np.ndarray, count: int, key: int = KEY) -> np.ndarray:
 
 
 class Tokenizer:
-    """Byte-pair tokens of a public vocabulary; words are remembered with their tokens.
+    """Byte-pair tokens of a public vocabulary; what stands between blanks is remembered with its tokens.
 
     ``path`` names a vocabulary of lines ``base64 rank`` and ``end`` the free id that ends a
-    document. The pattern cuts a text into words that are encoded one by one, so a
-    remembered word has the tokens it would get in the text. ``blanks`` says that in the pattern a
-    blank stands only at the start of a word or among white space, and that such runs leave the
-    blank before a word to it: then no word holds a blank and something else behind it, and
-    what stands between blanks is remembered as a whole.
+    document. The pattern cuts a text into words that are encoded one by one. ``blanks`` says that
+    in it a blank stands at the start of a word or among white space alone, and that white space leaves the
+    blank before something else to that. Then a word begins at each blank before something else, and
+    what stands from there to the next has the tokens it would get in the text.
     """
 
     def __init__(self, path: str, pattern: str, end: int, blanks: bool = True):
@@ -88,8 +98,12 @@ class Tokenizer:
         self.words, self.memory, self.pieces = regex.compile(pattern), {}, {}
         self.end, self.blanks = np.array([end], TOKENS).tobytes(), blanks
 
+    def _tokens(self, text: str) -> bytes:
+        ids = self.encoding.encode_ordinary(text)
+        return struct.pack(f"<{len(ids)}H", *ids)
+
     def _word(self, word: str) -> bytes:
-        tokens = np.array(self.encoding.encode_ordinary(word), TOKENS).tobytes()
+        tokens = self._tokens(word)
         if len(self.memory) >= MEMORY:
             self.memory.clear()
         self.memory[word] = tokens
@@ -100,10 +114,15 @@ class Tokenizer:
         return b"".join([known(w) or self._word(w) for w in self.words.findall(text)])
 
     def _piece(self, piece: str) -> bytes | None:
-        """The tokens of a piece and the blank before it; none if the blank belongs to more white space."""
+        """The tokens of a piece and the blank before it; none if the blank is one of more white space."""
         if not piece or piece[0].isspace():
             return None
-        tokens = self._words(" " + piece)
+        if len(piece) > PIECE:
+            return self._words(" " + piece)
+        if piece.isascii():  # in other texts words are those of the pattern as it is read here
+            tokens = self._tokens(" " + piece)
+        else:
+            tokens = b"".join(map(self._tokens, self.words.findall(" " + piece)))
         if len(self.pieces) >= MEMORY:
             self.pieces.clear()
         self.pieces[piece] = tokens
@@ -113,13 +132,34 @@ class Tokenizer:
         """The tokens of the whole text and the end mark, two bytes each."""
         if not self.blanks:
             return self._words(text) + self.end
-        known = self.pieces.get
-        first, *others = text.split(" ")
-        tokens = [known(p) or self._piece(p) for p in others]
-        if None in tokens:
-            first, *others = BLANK.split(text)
-            tokens = [known(p) or self._piece(p) for p in others]
-        return self._words(first) + b"".join(tokens) + self.end
+        first, *others = BLANK.split(text)
+        return self._words(first) + b"".join([self.pieces.get(p) or self._piece(p) for p in others]) + self.end
+
+    def encode_all(self, texts: pa.Array) -> memoryview | bytes:
+        """The tokens of the texts, each with its end mark; what stands between blanks is looked up once a call."""
+        if not self.blanks or not len(texts):
+            return b"".join(self.encode(text) for text in texts.to_pylist())
+        split = pc.split_pattern(texts, " ")
+        ends, found = split.value_lengths().to_numpy().cumsum(), split.flatten().dictionary_encode()
+        firsts, number = np.concatenate([[0], ends[:-1]]), found.indices.to_numpy()
+        known, names = self.pieces.get, found.dictionary.to_pylist()
+        tokens = [known(p) or self._piece(p) for p in names]
+        # A text with other white space at a blank is encoded by itself, as its first piece.
+        odd = np.array([t is None for t in tokens])[number]
+        odd[firsts] = False
+        alone = np.logical_or.reduceat(odd, firsts)
+        starts = [
+            self.encode(texts[i].as_py())[: -len(self.end)] if alone[i] else self._words(names[number[at]])
+            for i, at in enumerate(firsts)
+        ]
+        number = number.astype(np.int64)
+        kept = np.repeat(~alone, np.diff(ends, prepend=0))
+        kept[firsts] = True
+        number[firsts] = len(names) + np.arange(len(firsts))
+        number = np.insert(number, ends, len(names) + len(firsts))[np.insert(kept, ends, True)]
+        listed = pa.array([*tokens, *starts, self.end], pa.large_binary()).take(pa.array(number))
+        at = np.frombuffer(listed.buffers()[1], np.int64)[listed.offset : listed.offset + len(listed) + 1]
+        return memoryview(listed.buffers()[2])[at[0] : at[-1]]
 
 
 def sequences(documents: DataFrame, path: str, pattern: str, end: int, text_column: str = "text", length: int = LENGTH) -> DataFrame:
@@ -147,8 +187,8 @@ def sequences(documents: DataFrame, path: str, pattern: str, end: int, text_colu
             )
 
         for batch in batches:
-            for text in batch.column(0):
-                stream += tokenizer.encode(text.as_py())
+            for at in range(0, batch.num_rows, TEXTS):
+                stream += tokenizer.encode_all(batch.column(0).slice(at, TEXTS))
                 if len(stream) >= stride << 6:
                     whole_blocks = len(stream) // stride
                     out = [bytes(stream[k * stride : (k + 1) * stride]) for k in range(whole_blocks)]
@@ -192,7 +232,7 @@ def training_order(
     ``k * shard_rows`` on. The sequences are written once, so the numbers stay when a task is lost. Repeated rows are
     repeated; no rows give none; other columns are not looked at.
     """
-    cut = checkpointed(sequences(documents, path, pattern, end, text_column, length))
+    cut = checkpointed(sequences(documents, path, pattern, end, text_column, length), **DENSE)
     sizes = cut.groupBy("part").count()
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     begins = checkpointed(sizes.select("part", "count", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("begin")))

@@ -8,6 +8,7 @@ import sys
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -16,7 +17,7 @@ sys.path.insert(0, os.path.dirname(__file__))
 import plain  # noqa: E402
 from test_operators import SCHEMA, items, none, odd, odd_rows, odd_texts, repeated  # noqa: E402, F401
 
-from linetrace.llm import byte_bpe, conversation_repair, lexical_search, queries  # noqa: E402
+from linetrace.llm import byte_bpe, conversation_repair, lexical_search, queries, training_order  # noqa: E402
 from linetrace.llm.byte_bpe import IDS  # noqa: E402
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
@@ -181,3 +182,20 @@ def test_search_of_long_queries(spark):
 def test_search_of_empty_tables(odd, none, items):  # noqa: F811
     assert lexical_search.ranked_search(none, items).count() == 0
     assert lexical_search.ranked_search(odd, items.where("item_id < 0")).count() == 0
+
+
+def test_training_order_looks_words_up_once():
+    """Texts encoded together have the tokens of their words, whatever white space lies between; equal words are one call."""
+    rng = random.Random(11)
+    parts = [" ", "  ", "\n", "\t", "a", "é", "7", ".", "'s", "\x1c", "\x85", "\xa0", "\u3000", "²", "漢", " ab", " cd", "x" * 70]
+    tokenizer = training_order.Tokenizer(queries.VOCABULARY, queries.WORD_PATTERN, queries.END_OF_TEXT)
+    plainly = training_order.Tokenizer(queries.VOCABULARY, queries.WORD_PATTERN, queries.END_OF_TEXT, blanks=False)
+    for _ in range(300):
+        texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(9))) for _ in range(rng.randrange(9))]
+        expected = [plainly.encode(text) for text in texts]
+        assert bytes(tokenizer.encode_all(pa.array(texts, pa.string()))) == b"".join(expected)
+        assert [tokenizer.encode(text) for text in texts] == expected
+    calls = []
+    tokenizer._tokens = lambda text, tokens=tokenizer._tokens: calls.append(text) or tokens(text)
+    tokenizer.encode_all(pa.array(["so new, so new, so new,"] * 50))
+    assert sorted(calls) == [" new,", " so", "so"]
