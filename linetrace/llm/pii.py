@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from math import isqrt
+
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
@@ -50,11 +52,9 @@ HINTS = {
     "card": "card|visa|credit|pay|master",
     "phone": "phone|tel|call|fax|mobile|cell",
 }
-#: Bounds of the fit: documents looked at, candidates of a kind, and trees.
-SAMPLE_ROWS = 20000
-SAMPLE_SEED = 5
-KIND_ROWS = 5000
-TREES, DEPTH = 10, 3
+#: The trees of a kind, and the least number of thresholds they choose from for each feature.
+TREES, DEPTH, BINS = 10, 3, 32
+TREE_SEED = 5
 #: A kind adds spans from the greatest score on that so many of its held-out known candidates reach, and not below the
 #: score that this share of the held-out negatives reaches.
 RECALL = 0.9
@@ -188,11 +188,6 @@ def model_sql(model) -> str:
     return f"1 / (1 + exp(-2 * ({' + '.join(trees)})))"
 
 
-def _least(df: DataFrame, share: float, *content: str) -> DataFrame:
-    """The rows whose content hashes into the lowest ``share``: the same ones however they are dealt out."""
-    return df.where(F.pmod(F.xxhash64(F.lit(SAMPLE_SEED), *content), F.lit(1 << 30)) < int(share * (1 << 30)))
-
-
 def _labelled(rows: DataFrame) -> DataFrame:
     """Candidates that can be learned from, with ``label``."""
     check, hint = (F.get("c.f", FEATURES.index(name)) == 1 for name in ("check", "hint"))
@@ -201,69 +196,63 @@ def _labelled(rows: DataFrame) -> DataFrame:
     return rows.withColumn("label", label).where("label is not null")
 
 
-def fit(documents: DataFrame, text_column: str = "text", sample_rows: int = SAMPLE_ROWS) -> dict[int, tuple[str, float]]:
+def _counted(documents: DataFrame, text_column: str) -> DataFrame:
+    """``kind, label, f, held, n``: the labelled candidates of all documents, ``n`` of the same features; a third of the texts is held out."""
+    texts = documents.select(whole(F.col(f"`{text_column}`")).alias("text")).withColumn("base", base_spans())
+    found = texts.select((F.pmod(F.xxhash64("text"), F.lit(3)) == 0).alias("held"), F.explode_outer(candidates()).alias("c"))
+    rows = _labelled(found.where("c is not null"))
+    return checkpointed(
+        rows.groupBy(F.col("c.kind").alias("kind"), "label", F.col("c.f").alias("f"), "held").agg(F.count("*").alias("n"))
+    )
+
+
+def fit(documents: DataFrame, text_column: str = "text") -> dict[int, tuple[str, float]]:
     """Per kind a score as SQL over candidate ``c`` and the cut from which it redacts.
 
-    Candidates of a bounded sample of documents, those of least content hash. Known ones overlap a base span and pass
+    All candidates of all documents are learned from, counted by their features. Known ones overlap a base span and pass
     their kind's check (Luhn, parts up to 255, number of digits). Negatives are unmatched ones that fail the
     check. One that passes may be the same in another form: it is a negative only where no hint word of its
     kind stands before it, and never for cards, where few numbers pass by chance; the others are left out of the fit.
-    Both labels weigh the same. Two thirds of the candidates grow the trees, which see the check beside format and
-    context. The rest sets the cut: the greatest score that ``RECALL`` of the known ones reach, raised to what
+    Both labels weigh the same. Two thirds of the texts grow the trees, which see the check beside format and
+    context. The rest set the cut: the greatest score that ``RECALL`` of the known ones reach, raised to what
     ``DECOYS`` of the negatives reach if that is higher. A kind without candidates of both
     labels, or with fewer than ``HELD_OUT_LEAST`` known ones held out, adds nothing.
     """
-    n_rows = documents.count()
-    texts = documents.select(whole(F.col(f"`{text_column}`")).alias("text"))
-    sample = _least(texts, min(1.0, sample_rows / max(n_rows, 1)), "text")
-    rows = sample.withColumn("base", base_spans()).select(
-        F.xxhash64("text").alias("text_hash"), F.explode_outer(candidates()).alias("c")
-    )
-    rows = checkpointed(
-        _labelled(rows.where("c is not null")).select(
-            F.col("c.kind").alias("kind"),
-            "label",
-            F.col("c.f").alias("f"),
-            F.xxhash64("text_hash", "c.start", "c.end").alias("key"),
-            F.pmod("text_hash", F.lit(3)).cast("int").alias("fold"),
-        )
-    )
-    totals = {
-        r.kind: r for r in rows.groupBy("kind").agg(
-            F.min(F.when(F.col("fold") != 0, F.col("label"))).alias("low"),
-            F.max(F.when(F.col("fold") != 0, F.col("label"))).alias("high"),
-            F.sum(F.when(F.col("fold") != 0, 1)).alias("rows"),
-            F.avg(F.when(F.col("fold") != 0, F.col("label"))).alias("known"),
-        ).collect()
-    }
+    rows = _counted(documents, text_column)
+    grown = ~F.col("held")
+    totals = rows.where(grown).groupBy("kind").agg(
+        F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("vectors"),
+        (F.sum(F.col("label") * F.col("n")) / F.sum("n")).alias("known"),
+    ).collect()
     out = {}
-    for kind, total in sorted(totals.items()):
-        if total.low is None or total.low == total.high:
+    for total in sorted(totals, key=lambda r: r.kind):
+        if total.low == total.high:
             continue
-        part = rows.where(F.col("kind") == kind)
-        grown = _least(part.where("fold <> 0"), min(1.0, KIND_ROWS / total.rows), "key")
-        # In one order: the trees depend on the order of what they see, and these rows are bounded.
-        grown = grown.orderBy("key", "label").coalesce(1)
+        part = rows.where(F.col("kind") == total.kind)
+        # In one order, which the trees depend on; a vector of features is one row, however often it occurs.
+        ordered = part.where(grown).orderBy("f", "label")
         weight = F.when(F.col("label") == 1, 0.5 / total.known).otherwise(0.5 / (1 - total.known))
-        vectors = grown.select("label", weight.alias("weight"), array_to_vector("f").alias("features"))
-        model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=SAMPLE_SEED, maxBins=32, weightCol="weight").fit(vectors)
+        vectors = ordered.select("label", (weight * F.col("n")).alias("weight"), array_to_vector("f").alias("features"))
+        # MLlib looks for thresholds in all rows only while they are no more than the square of the bins.
+        bins = max(BINS, isqrt(total.vectors) + 1)
+        model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=TREE_SEED, maxBins=bins, weightCol="weight").fit(vectors)
         score = model_sql(model)
-        cut = _cut(part.where("fold = 0"), score)
+        cut = _cut(part.where("held"), score)
         if cut is not None:
-            out[kind] = (score, cut)
+            out[total.kind] = (score, cut)
     return out
 
 
 def _cut(held: DataFrame, score: str) -> float | None:
-    """The cut that the held-out candidates ``f, label`` give."""
-    scores = held.select("label", F.struct("f").alias("c")).select("label", F.expr(score).alias("s"))
+    """The cut that the held-out candidates ``f, label``, ``n`` of each, give."""
+    scores = held.select("label", "n", F.struct("f").alias("c")).select("label", "n", F.expr(score).alias("s"))
     known, other = (F.when(F.col("label") == label, F.col("s")) for label in (1, 0))
     found = scores.agg(
-        F.count(known).alias("n"),
-        F.percentile(known, F.lit(1 - RECALL)).alias("reached"),
-        F.percentile(other, F.lit(1 - DECOYS)).alias("decoys"),
+        F.sum(F.when(F.col("label") == 1, F.col("n"))).alias("n"),
+        F.percentile(known, F.lit(1 - RECALL), F.col("n")).alias("reached"),
+        F.percentile(other, F.lit(1 - DECOYS), F.col("n")).alias("decoys"),
     ).first()
-    if found.n < HELD_OUT_LEAST:
+    if (found.n or 0) < HELD_OUT_LEAST:
         return None
     reached = found.reached - 1e-6
     return reached if found.decoys is None else max(reached, found.decoys + 1e-6)

@@ -571,3 +571,23 @@ def test_pipeline(spark, odd, items, tmp_path):
         (s, k) for s, n in sorted(Counter(r.shard for r in out).items()) for k in range(n)
     ]
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality", "near_duplicates", "benchmark", "mixing", "sharding"]
+
+
+def test_personal_data_fits_all_documents(spark):
+    """Every candidate of every document is counted, however many there are."""
+    plain_ids = spark.range(60_000).selectExpr("concat('call phone +1 (555) 010-', lpad(id % 10000, 4, '0')) as text")
+    others = spark.range(60_000).selectExpr("concat('part ', 1000000000 + id, ' left') as text")
+    rows = pii._counted(plain_ids.union(others), "text").where(F.col("kind") == pii.KINDS.index("phone"))
+    counts = {r.label: r.n for r in rows.groupBy("label").agg(F.sum("n").alias("n")).collect()}
+    # A call is proposed in its base form and in a loose one.
+    assert counts == {1.0: 120_000, 0.0: 60_000} and rows.count() <= 20
+
+
+def test_personal_data_model_counts_repeats(spark):
+    """A vector that occurs often is one row with its number, and the trees and the cut are those of all rows."""
+    texts = [f"call phone +1 (555) 010-{k:04}" for k in range(90)] + [f"part {10**9 + k} left" for k in range(90)]
+    once = spark.createDataFrame([(t,) for t in texts], "text string")
+    thrice = once.union(once).union(once)
+    base, often = pii.fit(once), pii.fit(thrice)
+    assert base.keys() == often.keys() and base
+    assert all(abs(base[k][1] - often[k][1]) < 1e-3 for k in base)
