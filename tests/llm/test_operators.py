@@ -591,3 +591,16 @@ def test_personal_data_model_counts_repeats(spark):
     base, often = pii.fit(once), pii.fit(thrice)
     assert base.keys() == often.keys() and base
     assert all(abs(base[k][1] - often[k][1]) < 1e-3 for k in base)
+
+
+def test_components_of_few_links_shuffle_nothing(spark, monkeypatch):
+    """A round over few links is one part; its components are those of the rounds that are dealt out."""
+    rng = random.Random(21)
+    made = [(rng.randrange(80), rng.randrange(80)) for _ in range(60)] + [(k + 100, k + 101) for k in range(40)] + [(7, 7), (None, 3)]
+    links = spark.createDataFrame(made, "a long, b long").repartition(3)
+    table = checkpointed(links.where("a > b"))
+    plan = components._small_star(components._large_star(components._in_parts(table, 3)))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan
+    few = sorted(map(tuple, components.connected_components(links).collect()))
+    monkeypatch.setattr(components, "ONE_PART", 0)
+    assert few == sorted(map(tuple, components.connected_components(links).collect())) and len(few) > 100
