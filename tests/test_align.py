@@ -77,3 +77,18 @@ def test_edges_ranges_and_unmatched(make_lines):
         ("p", "old", 2), ("p", "new", 2), ("p", "new", 3), ("p", "new", 6),
     }
     assert {tuple(r) for r in merge.pair_status(steps, lines).collect()} == {("p", 1), ("same", 0)}
+
+
+@pytest.mark.parametrize("autojunk, factor, fold", [(False, 8, align.FOLD), (True, 8, align.FOLD), (True, 8, 400), (False, 0, 0)])
+def test_small_pairs_take_no_rounds(make_lines, monkeypatch, autojunk, factor, fold):
+    """Pairs of up to ``fold`` lines and joined lines are cut in one row each, larger ones by rounds, with the same steps."""
+    rounds, in_rounds = [], align._blocks_in_rounds
+    monkeypatch.setattr(align, "_blocks_in_rounds", lambda *given: rounds.append(given[1].count()) or in_rounds(*given))
+    blank = [x for k in range(150) for x in (f"s{k}", "")]
+    pairs = random_pairs(11, 12, 230) | {"popular": (blank, blank[:80] + ["x"] + blank[40:]), "all": ([""] * 300, [""] * 250 + ["y"])}
+    steps = align.hunks(make_lines(pairs), "text", autojunk, factor, fold)
+    got = by_pair(steps.orderBy("pair_id", "hunk_no").collect())
+    filled = sum(1 for old, new in pairs.values() if old or new)
+    assert rounds == [] if fold == align.FOLD else rounds == [filled] if fold == 0 else 0 < rounds[0] < filled
+    for pair, (old, new) in pairs.items():
+        assert got.get(pair, []) == SequenceMatcher(None, old, new, autojunk=autojunk).get_opcodes(), pair
