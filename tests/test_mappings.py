@@ -302,3 +302,16 @@ def test_ratios_of_mixed_up_texts_are_not_computed(spark):
     exact = [SequenceMatcher(None, a, b).ratio() for a, b in rows]
     assert found[1] is None and exact[1] < 0.75
     assert [found[0], found[2]] == [exact[0], exact[2]]
+
+
+def test_texts_meet_over_the_borders_of_length_classes(spark, make_lines):
+    from linetrace.operators import best
+
+    words = ["a" * n for n in range(1, 140)]
+    for threshold in (0.6, 0.75, 0.95):
+        edges = best.ratio_edges(make_lines({"p": (words, words)}), threshold)
+        got = sorted((o, n) for r in edges.collect() for o in r.old_at for n in r.new_at)
+        assert got == [(o, n) for o in range(1, 140) for n in range(1, 140) if 2.0 * min(o, n) / (o + n) >= threshold]
+        # A text next to no border moves once, and no pair of texts moves.
+        plan = edges._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("RepartitionByExpression") == 1 and plan.index("Join") < plan.index("RepartitionByExpression")
