@@ -96,6 +96,8 @@ def _hunk_texts(lines: DataFrame, steps: DataFrame) -> DataFrame:
             "hunk_no",
             F.explode(F.sequence(F.col(start) + 1, F.col(end))).alias("line_no"),
         )
+        # Spark takes the rows behind an explode for as many as before it, and would broadcast all lines.
+        members = members.hint("merge")
         ended = F.concat("text", F.when(F.col("has_eol"), "\n").otherwise(""))
         ordered = F.sort_array(
             F.collect_list(F.struct("line_no", ended.alias("raw"), F.concat("text", F.lit("\n")).alias("full")))
@@ -166,7 +168,7 @@ def merge(
     )
     chosen = (
         _hunk_texts(lines, steps)
-        .join(decisions, ["pair_id", "hunk_no"], "left")
+        .join(decisions.hint("merge"), ["pair_id", "hunk_no"], "left")
         .select("pair_id", "hunk_no", piece.alias("piece"))
     )
     ordered = F.sort_array(F.collect_list(F.struct("hunk_no", "piece")))

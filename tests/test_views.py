@@ -94,6 +94,17 @@ def test_merge_choices(spark):
     assert got == {**choices, "none": None, "own": "mine"}
 
 
+def test_merge_does_not_broadcast_lines(spark, make_lines):
+    lines = make_lines({"p": (["a", "b", "c"], ["a", "x", "c"])})
+    steps = merge.hunks_with_ends(lines)
+    decisions = spark.createDataFrame([("p", 2, "r", None)], "pair_id string, hunk_no int, choice string, edited_text string")
+    merged = merge.merge(lines, steps, decisions)
+    plan = merged._jdf.queryExecution().sparkPlan().toString()
+    # The lines of hunks come from an explode, whose size Spark does not know.
+    assert "BroadcastHashJoin" not in plan.split("SortAggregate")[0] and plan.count("SortMergeJoin") >= 3
+    assert [r.merged for r in merged.collect()] == ["a\nx\nc\n"]
+
+
 def test_quality(spark, make_lines):
     lines = make_lines({"p": (["a", "", "c"], ["a", "c"])})
     schema = "pair_id string, old_line int, new_line int"
